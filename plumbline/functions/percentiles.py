@@ -1,93 +1,132 @@
-"""Exact continuous percentiles without holding a column in one task.
+"""Exact continuous percentiles without holding a large group in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer. Here a bounded sketch
-first brackets each requested rank, a second pass counts everything outside the brackets
-and keeps only the values inside, and the rank is then read from a running count. The
-values kept are a fixed small fraction of the rows, cut into slices so that the running
-count of one bracket is spread over several tasks.
+``percentile`` keeps every distinct value of a group in one buffer, which is right for
+groups of a checked size. A larger group is answered in two passes: a bounded sketch
+brackets each requested rank, then everything outside the brackets is only counted, the
+values inside are kept, and the rank is read from a running count. The kept values are a
+small fixed share of the rows and are cut into slices, so the running count of one bracket
+is spread over many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.functions.columns import col
+from plumbline.session import cut_lineage
 
-ACCURACY = 10_000  # rank error of the sketch is rows / ACCURACY
+SMALL_GROUP = 500_000  # groups up to this many rows are buffered
+BROADCAST_GROUPS = 100_000  # larger groups up to this number are broadcast as a list
+ACCURACY = 1_000  # rank error of the sketch is rows / ACCURACY
 MARGIN = 4.0 / ACCURACY  # half width of a bracket, four times that error
-SLICES = 64  # equal-width slices per bracket
-SMALL = 50_000  # below this many values, where a bracket would span few rows, all are kept
+SLICES = 1_024  # equal-width slices per bracket
+SMALL = 10_000  # below this many values, where a bracket would span few rows, all are kept
 
 
 def _bounds(columns: Sequence[str], probs: Sequence[float]) -> list[Column]:
+    """Per column the lower and upper cuts of every bracket."""
     low = [max(p - MARGIN, 0.0) for p in probs]
     high = [min(p + MARGIN, 1.0) for p in probs]
     share = F.array(*[F.lit(p) for p in low + high])
     found = []
     for i, c in enumerate(columns):
-        value = col(c).cast("double")
-        widest = F.concat(F.array_repeat(F.min(value), len(probs)), F.array_repeat(F.max(value), len(probs)))
-        cuts = F.when(F.count(value) < SMALL, widest).otherwise(F.percentile_approx(value, share, ACCURACY))
-        found.append(cuts.alias(f"__b{i}"))
+        value = col(c)
+        sketched = F.percentile_approx(value, share, ACCURACY)
+        few = F.count(value) < SMALL
+        lows = F.when(few, F.array_repeat(F.min(value), len(probs))).otherwise(F.slice(sketched, 1, len(probs)))
+        highs = F.when(few, F.array_repeat(F.max(value), len(probs))).otherwise(
+            F.slice(sketched, len(probs) + 1, len(probs))
+        )
+        found.append(F.struct(F.lit(i).alias("c"), lows.alias("lows"), highs.alias("highs")).alias(f"__b{i}"))
     return found
 
 
-def _cell(position: int, value: Column, cuts: Column, probs: int) -> Column:
-    """(column, bracket, slice, value): the value is kept only inside a bracket."""
-    bracket = F.lit(0)
-    inside = F.lit(False)
-    slice_of = F.lit(0)
-    for j in range(probs):
-        low, high = cuts[j], cuts[probs + j]
-        bracket = bracket + F.when(value >= low, 1).otherwise(0)
-        within = (value >= low) & (value <= high)
-        inside = inside | within
-    for j in range(probs):  # the last bracket that has begun decides the slice
-        low, high = cuts[j], cuts[probs + j]
-        width = F.when(high > low, high - low).otherwise(F.lit(1.0))
-        part = F.least(F.floor((value - low) / width * SLICES), F.lit(SLICES - 1)).cast("int")
-        slice_of = F.when(value >= low, part).otherwise(slice_of)
-    outside_slice = F.lit(SLICES)  # rows past a bracket follow every slice of it
-    return F.struct(
-        F.lit(position).alias("c"),
-        bracket.alias("k"),
-        F.when(inside, slice_of).otherwise(outside_slice).alias("s"),
-        F.when(inside, value).alias("v"),
-    )
-
-
 def exact_percentiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    small_group: int = SMALL_GROUP,
 ) -> DataFrame:
     """Long frame (by..., column_name, prob, value) of interpolated percentiles.
 
     Equal to ``percentile_cont`` over the non-null values; columns without any value have
-    no row. ``probs`` must be ascending.
+    no value. Group sizes are counted first to choose the way for each group.
     """
     columns, probs, by = list(columns), sorted(probs), list(by)
+    if not by:
+        return (_buffered if df.count() <= small_group else _bracketed)(df, columns, probs, by)
+    sizes = df.groupBy(*[col(b) for b in by]).agg(F.count(F.lit(1)).alias("__size"))
+    names = {b: f"__l{i}" for i, b in enumerate(by)}
+    large = cut_lineage(
+        sizes.filter(F.col("__size") > small_group).select(*[col(b).alias(n) for b, n in names.items()])
+    )
+    found = large.count()
+    if found == 0:
+        return _buffered(df, columns, probs, by)
+    if found <= BROADCAST_GROUPS:
+        large = F.broadcast(large)
+    same = [col(b).eqNullSafe(F.col(n)) for b, n in names.items()]
+    small_part = _buffered(df.join(large, same, "left_anti"), columns, probs, by)
+    return small_part.unionByName(_bracketed(df.join(large, same, "left_semi"), columns, probs, by))
+
+
+def _buffered(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> DataFrame:
+    found = df.groupBy(*[col(b) for b in by]).agg(
+        *[F.percentile(col(c).cast("double"), probs).alias(f"__p{i}") for i, c in enumerate(columns)]
+    )
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(float(p)).alias("prob"), F.col(f"__p{i}")[j].alias("value"))
+        for i, c in enumerate(columns)
+        for j, p in enumerate(probs)
+    ]
+    return found.select(*[col(b) for b in by], F.inline(F.array(*cells)))
+
+
+def _bracketed(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> DataFrame:
     keys = [f"__g{i}" for i in range(len(by))]
+    measured = [f"__x{i}" for i in range(len(columns))]
     narrow = df.select(
-        *[col(b).alias(k) for b, k in zip(by, keys)], *[col(c).alias(f"__x{i}") for i, c in enumerate(columns)]
+        *[col(b).alias(k) for b, k in zip(by, keys)],
+        *[col(c).cast("double").alias(x) for c, x in zip(columns, measured)],
+    )
+    bounds = (
+        narrow.groupBy(*keys)
+        .agg(*_bounds(measured, probs))
+        .select(*keys, F.inline(F.array(*[F.col(f"__b{i}") for i in range(len(columns))])))
+        .withColumnsRenamed({**{k: "__j" + k for k in keys}, "c": "__jc"})
+    )
+    if not by:
+        bounds = F.broadcast(bounds)  # one row per column
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(x).alias("v")) for i, x in enumerate(measured)])
+    same = [F.col("c") == F.col("__jc"), *[F.col(k).eqNullSafe(F.col("__j" + k)) for k in keys]]
+    begun = reduce(lambda a, b: a + b, [(F.col("v") >= F.col("lows")[j]).cast("int") for j in range(len(probs))])
+    rows = (
+        narrow.select(*keys, F.inline(cells))
+        .filter(F.col("v").isNotNull())
+        .join(bounds, same, "inner")
+        .withColumn("k", begun)
+        .withColumn("low", F.get("lows", F.col("k") - 1))
+        .withColumn("high", F.get("highs", F.col("k") - 1))
+    )
+    # Brackets ascend, so a value lies in one exactly if it lies in the last that has begun.
+    inside = F.coalesce(F.col("v") <= F.col("high"), F.lit(False))
+    width = F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
+    part = F.coalesce(F.floor((F.col("v") - F.col("low")) / width * SLICES).cast("int"), F.lit(0))
+    counted = (
+        rows.select(
+            *keys,
+            "c",
+            "k",
+            F.when(inside, F.least(part, F.lit(SLICES - 1))).otherwise(SLICES).alias("s"),
+            F.when(inside, F.col("v")).alias("v"),
+        )
+        .groupBy(*keys, "c", "k", "s", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    measured = [f"__x{i}" for i in range(len(columns))]
-    if by:
-        bounds = narrow.groupBy(*keys).agg(*_bounds(measured, probs))
-        bounds = bounds.select(*[F.col(k).alias("__j" + k) for k in keys], *[f"__b{i}" for i in range(len(columns))])
-        same_group = [F.col(k).eqNullSafe(F.col("__j" + k)) for k in keys]
-        rows = narrow.join(bounds, same_group, "inner")
-        cuts = [F.col(f"__b{i}") for i in range(len(columns))]
-    else:
-        bounds = narrow.agg(F.struct(*_bounds(measured, probs)).alias("b"))
-        rows = narrow.withColumn("__cuts", bounds.scalar())
-        cuts = [F.col("__cuts").getField(f"__b{i}") for i in range(len(columns))]
-    cells = []
-    for i, name in enumerate(measured):
-        value = F.col(name).cast("double")
-        cells.append(F.when(value.isNotNull(), _cell(i, value, cuts[i], len(probs))))
-    rows = rows.select(*keys, F.explode(F.array(*cells)).alias("e")).filter(F.col("e").isNotNull())
-    counted = rows.groupBy(*keys, "e.c", "e.k", "e.s", "e.v").agg(F.count(F.lit(1)).alias("n"))
     return _read_ranks(counted, keys, columns, probs, by)
 
 
