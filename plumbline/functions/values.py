@@ -46,6 +46,23 @@ def value_rows(df: DataFrame, columns: Sequence[str], *carried: Column) -> DataF
     return df.select(*carried, F.stack(F.lit(len(columns)), *cells).alias(COLUMN, *VALUE))
 
 
+def shown_value(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A ledger value as text, in the form its column's type has as text."""
+    shown = F.coalesce(F.col(V_TEXT), F.col(V_INT).cast("string"), F.col(V_FLOAT).cast("string"))
+    for position, name in enumerate(columns):
+        dtype = dtype_of(df, name)
+        if isinstance(dtype, T.BooleanType):
+            text = (F.col(V_INT) == 1).cast("string")
+        elif isinstance(dtype, T.DateType):
+            text = F.date_from_unix_date(F.col(V_INT).cast("int")).cast("string")
+        elif isinstance(dtype, T.TimestampType):
+            text = F.timestamp_micros(F.col(V_INT)).cast("string")
+        else:
+            continue
+        shown = F.when(F.col(COLUMN) == position, text).otherwise(shown)
+    return shown
+
+
 def has_value() -> Column:
     return F.coalesce(F.col(V_INT).isNotNull(), F.lit(False)) | F.col(V_FLOAT).isNotNull() | F.col(V_TEXT).isNotNull()
 

@@ -122,8 +122,9 @@ def suggest_checks(
         part(foreign, "relationships", target, none)
     if "accepted_values" in checks:
         # At most ten values per column and task survive the ranking, before any shuffle.
-        text = F.coalesce(F.col(V.V_TEXT), F.col(V.V_INT).cast("string"), F.col(V.V_FLOAT).cast("string"))
+        text = V.shown_value(df, columns)
         order = Window.partitionBy(V.COLUMN).orderBy(*V.VALUE)
+        in_rank = F.array_sort(F.collect_list(F.struct("rank", text.alias("t"))))
         few = (
             ledger.filter(V.has_value())
             .select(V.COLUMN, *V.VALUE, F.row_number().over(order).alias("rank"))
@@ -131,7 +132,7 @@ def suggest_checks(
             .groupBy(V.COLUMN)
             .agg(
                 F.max("rank").alias("found"),
-                F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", text.alias("t")))), lambda e: e["t"]), ", ").alias("list"),
+                F.array_join(F.transform(in_rank, lambda e: e["t"]), ", ").alias("list"),
             )
             .filter(F.col("found") <= MAX_ACCEPTED_VALUES)
         )

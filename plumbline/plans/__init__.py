@@ -6,7 +6,13 @@ from plumbline.plans.registry import ORACLES, QUERIES, Query
 
 
 def _load() -> None:
-    from plumbline.plans import compare_queries, lineage_queries, profile_queries, quality_queries  # noqa: F401
+    from plumbline.plans import (  # noqa: F401
+        compare_queries,
+        leave_queries,
+        lineage_queries,
+        profile_queries,
+        quality_queries,
+    )
 
 
 def all_queries() -> dict[str, Query]:

@@ -68,7 +68,7 @@ def _suggested() -> str:
     )
     for c in ("event_id", "user_id"):
         parts.append(f"SELECT '{c}', 'relationships', '{c.replace('_id', '')}.id', NULL")
-    for c, shown in (("event_type", "v"), ("flag", "CAST(CAST(v AS INT) AS VARCHAR)")):
+    for c, shown in (("event_type", "v"), ("flag", "CAST(v AS VARCHAR)")):
         parts.append(
             f"SELECT '{c}', 'accepted_values', string_agg({shown}, ', ' ORDER BY v), 0 FROM (SELECT DISTINCT {c} AS v FROM {{events_n}} WHERE {c} IS NOT NULL) HAVING COUNT(*) BETWEEN 1 AND 9"
         )
