@@ -158,13 +158,17 @@ def _text(name: str, duck: bool) -> str:
     return text.strip()
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table or derived input as a DataFrame."""
-    if name in TABLES:
-        return read_table(spark, sf_dir, name)
-    text = _text(name, False)
-    inputs = {n: frame(spark, sf_dir, n) for n in dict.fromkeys(_NAME.findall(text))}
-    return spark.sql(text, **inputs)
+def frame(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A table or derived input as a DataFrame; ``known`` keeps what was already resolved."""
+    known = {} if known is None else known
+    if name not in known:
+        if name in TABLES:
+            known[name] = read_table(spark, sf_dir, name)
+        else:
+            text = _text(name, False)
+            inputs = {n: frame(spark, sf_dir, n, known) for n in dict.fromkeys(_NAME.findall(text))}
+            known[name] = spark.sql(text, **inputs)
+    return known[name]
 
 
 @cache

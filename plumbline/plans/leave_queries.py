@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from plumbline.operators import leave
-from plumbline.plans.fixtures import frame
 from plumbline.plans.registry import Inputs, query
 from plumbline.session import scratch_dir
 from plumbline.sources import drops
@@ -280,7 +279,7 @@ def _(t: Inputs):
 def _(t: Inputs):
     """Two deliveries of which the second repeats five days; the repeated rows are late and dropped."""
     place = scratch_dir(t.spark, "merge-stream")
-    raw = frame(t.spark, t.sf_dir, "raw_time_off")
+    raw = t.raw_time_off
     for rows in (raw.filter("time_off_date < '2024-01-16'"), raw.filter("time_off_date >= '2024-01-11'")):
         rows.write.mode("append").parquet(f"{place}/raw")
         updates = t.spark.readStream.schema(raw.schema).parquet(f"{place}/raw")

@@ -20,9 +20,10 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._known: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return frame(self.spark, self.sf_dir, name)
+        return frame(self.spark, self.sf_dir, name, self._known)
 
 
 def comparable(df: DataFrame, digits: int = 4) -> DataFrame:
