@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 NUMERIC, STRING, DATE, BOOLEAN, OTHER = "numeric", "string", "date", "boolean", "other"
 
+LONG_TEXT = 64  # longer texts are compared by their beginning and SHA-256
+DIGEST_MARK = "sha256:"
+
 
 def col(name: str) -> Column:
     """Reference a column by its exact name, dots and blanks included."""
@@ -40,6 +43,26 @@ def dtype_of(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
+def compact(value: Column) -> Column:
+    """A text that equals another exactly if the originals do, short enough to shuffle.
+
+    A long text becomes its beginning, a mark and its SHA-256, which sorts like the original up
+    to that beginning. The result is longer than any text left as it is, so the two kinds
+    never meet.
+    """
+    digest = F.concat(F.substring(value, 1, LONG_TEXT), F.lit(DIGEST_MARK), F.sha2(value, 256))
+    return F.when(F.length(value) > LONG_TEXT, digest).otherwise(value)
+
+
+def is_digest(text: Column) -> Column:
+    return F.length(text) > LONG_TEXT
+
+
+def comparable_cell(df: DataFrame, name: str) -> Column:
+    """A column for equality only: long texts are shortened, everything else stays."""
+    return compact(col(name)) if isinstance(dtype_of(df, name), T.StringType) else col(name)
+
+
 def any_null(names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [col(n).isNull() for n in names])
 

@@ -2,8 +2,9 @@
 
 Distinct counts, null counts, most frequent values and repeated values of any number of
 columns are all read off one ledger. Values travel in their native width (integers, dates
-and booleans as bigint, floats as double, the rest as text) and are counted inside the map
-tasks first, so neither a frequent value nor a wide table concentrates rows in one task.
+and booleans as bigint, floats as double, the rest as text, long texts as SHA-256) and are
+counted inside the map tasks first, so neither a frequent value nor a wide table
+concentrates rows in one task. The few long texts a report shows are looked up again.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from plumbline.functions.columns import STRING, col, dtype_of, family, name_column
+from plumbline.functions.columns import STRING, col, compact, dtype_of, family, is_digest, name_column
 
 COLUMN = "__column"
 V_INT, V_FLOAT, V_TEXT = "__v_int", "__v_float", "__v_text"
@@ -20,6 +21,15 @@ VALUE = [V_INT, V_FLOAT, V_TEXT]
 COUNT = "__count"
 
 
+def _whole_text(name: str, dtype: T.DataType) -> Column:
+    value = col(name)
+    if isinstance(dtype, T.BinaryType):
+        return F.base64(value)
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        return F.when(value.isNotNull(), F.to_json(F.struct(value)))
+    return value.cast("string")
+
+
 def _native(name: str, dtype: T.DataType) -> tuple[Column, Column, Column]:
     value = col(name)
     no_int, no_float, no_text = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
@@ -31,11 +41,7 @@ def _native(name: str, dtype: T.DataType) -> tuple[Column, Column, Column]:
         return F.unix_micros(value), no_float, no_text
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return no_int, value.cast("double"), no_text
-    if isinstance(dtype, T.BinaryType):
-        return no_int, no_float, F.base64(value)
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        return no_int, no_float, F.when(value.isNotNull(), F.to_json(F.struct(value)))
-    return no_int, no_float, value.cast("string")
+    return no_int, no_float, compact(_whole_text(name, dtype))
 
 
 def value_rows(df: DataFrame, columns: Sequence[str], *carried: Column) -> DataFrame:
@@ -85,7 +91,35 @@ def ledger_totals(ledger: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def frequent_texts(ledger: DataFrame, k: int) -> DataFrame:
+def restore_texts(df: DataFrame, columns: Sequence[str], shown: DataFrame) -> DataFrame:
+    """Put the original texts back into a few ledger rows.
+
+    ``shown`` holds a fixed number of rows per column, which is why it may be broadcast; if
+    none is a digest, adaptive execution drops the extra pass over the table.
+    """
+    texts = [c for c in columns if not isinstance(dtype_of(df, c), (T.NumericType, T.BooleanType, T.DateType))]
+    if not texts:
+        return shown
+    wanted = shown.filter(is_digest(F.col(V_TEXT))).select(F.col(COLUMN).alias("__c"), F.col(V_TEXT).alias("__t"))
+    cells = [c for name in texts for c in (F.lit(list(columns).index(name)), _whole_text(name, dtype_of(df, name)))]
+    rows = df.select(F.stack(F.lit(len(texts)), *cells).alias("__c", "__whole"))
+    rows = rows.filter(F.length("__whole") > F.lit(0)).withColumn("__t", compact(F.col("__whole")))
+    found = (
+        rows.filter(is_digest(F.col("__t")))
+        .join(F.broadcast(wanted), ["__c", "__t"], "left_semi")
+        .groupBy("__c", "__t")
+        .agg(F.any_value("__whole").alias("__whole"))
+    )
+    matches = (F.col(COLUMN) == F.col("__c")) & (F.col(V_TEXT) == F.col("__t"))
+    return shown.join(found, matches, "left").select(
+        *[
+            F.coalesce("__whole", V_TEXT).alias(V_TEXT) if c == V_TEXT else F.col(c)
+            for c in shown.columns
+        ]
+    )
+
+
+def frequent_texts(df: DataFrame, columns: Sequence[str], ledger: DataFrame, k: int) -> DataFrame:
     """``value (count)`` of the k most frequent texts per column, joined by a comma.
 
     The ranking filter is applied inside every task before the shuffle (window group limit),
@@ -97,6 +131,7 @@ def frequent_texts(ledger: DataFrame, k: int) -> DataFrame:
         .select(COLUMN, V_TEXT, COUNT, F.row_number().over(ranking).alias("__rank"))
         .filter(F.col("__rank") <= k)
     )
+    best = restore_texts(df, columns, best)
     shown = F.concat(F.col(V_TEXT), F.lit(" ("), F.col(COUNT).cast("string"), F.lit(")"))
     ordered = F.array_sort(F.collect_list(F.struct("__rank", shown.alias("shown"))))
     return best.groupBy(COLUMN).agg(F.array_join(F.transform(ordered, lambda e: e["shown"]), ", ").alias("top"))

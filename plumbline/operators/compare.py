@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.functions import values as V
-from plumbline.functions.columns import any_null, as_list, col, percent, ratio, zero_if_null
+from plumbline.functions.columns import any_null, as_list, col, comparable_cell, percent, ratio, zero_if_null
 from plumbline.functions.tally import SIDE, on_side, side_counts, side_tally, tag_sides, total
 from plumbline.session import cut_lineage
 
@@ -45,7 +45,7 @@ def _sides(
     old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]
 ) -> tuple[DataFrame, DataFrame]:
     def side(df: DataFrame, prefix: str, flag: str) -> DataFrame:
-        cells = [col(c).alias(f"{prefix}{i}") for i, c in enumerate(columns)]
+        cells = [comparable_cell(df, c).alias(f"{prefix}{i}") for i, c in enumerate(columns)]
         return df.select(*[col(k) for k in keys], *cells, F.lit(True).alias(flag))
 
     return side(old, _OLD, "__in_old"), side(new, _NEW, "__in_new")
@@ -344,8 +344,9 @@ def row_compare(
     else:
         lost = F.when((n_main > 0) & (n_current == 0), 1).otherwise(0)
         gained = F.when((n_current > 0) & (n_main == 0), 1).otherwise(0)
+    whole_rows = [df.select(*[comparable_cell(df, c).alias(c) for c in columns]) for df in (main, current)]
     return (
-        side_tally([main, current], columns)
+        side_tally(whole_rows, columns)
         .agg(
             total(n_main).alias(outputs[0]),
             total(n_current).alias(outputs[1]),

@@ -78,12 +78,15 @@ def detect_drift(
             F.count(F.lit(1)).alias("distinct"),
             F.min(F.struct((-F.col(V.COUNT)).alias("n"), F.col(V.V_TEXT).alias("v"))).alias("top"),
         )
+        per_window = V.restore_texts(
+            inside, texts, per_window.select("__recent", V.COLUMN, "distinct", F.col("top.v").alias(V.V_TEXT))
+        )
         cells = []
         for i in range(len(texts)):
             for s, side in sides.items():
                 here = side & (F.col(V.COLUMN) == i)
                 cells.append(zero_if_null(F.max(F.when(here, F.col("distinct")))).alias(f"{s}_distinct{i}"))
-                cells.append(F.max(F.when(here, F.col("top.v"))).alias(f"{s}_top{i}"))
+                cells.append(F.max(F.when(here, F.col(V.V_TEXT))).alias(f"{s}_top{i}"))
         wide = wide.withColumn("texts", per_window.agg(F.struct(*cells).alias("texts")).scalar())
 
     def relative(new: Column, base: Column) -> Column:

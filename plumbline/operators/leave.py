@@ -88,17 +88,18 @@ def newer_than(df: DataFrame, target: DataFrame | None, column: str = "timestamp
 def latest_rows(df: DataFrame, keys: str | Sequence[str], order: str = "timestamp_unix") -> DataFrame:
     """The row with the highest ``order`` per key, ties by all columns; rows with a NULL key all stay.
 
-    A plain maximum of structs, so a frequent key is reduced inside the map tasks.
+    A plain maximum of structs, so a frequent key is reduced inside the map tasks. Rows with a
+    NULL key are told apart by a number of their own.
     """
     keys = as_list(keys)
     rest = [c for c in df.columns if c not in keys and c != order]
-    best = (
-        df.filter(~any_null(keys))
-        .groupBy(*[col(k) for k in keys])
+    own_number = F.when(any_null(keys), F.monotonically_increasing_id())
+    return (
+        df.withColumn("__own", own_number)
+        .groupBy(*[col(k) for k in keys], "__own")
         .agg(F.max(F.struct(col(order), *[col(c) for c in rest])).alias("__best"))
         .select(*[col(c) if c in keys else F.col("__best")[c].alias(c) for c in df.columns])
     )
-    return best.unionByName(df.filter(any_null(keys)))
 
 
 def merge_latest(
@@ -211,17 +212,21 @@ _FACT = (
 def expand_leave_days(leave: DataFrame, dates: DataFrame) -> DataFrame:
     """One row per working day of each current leave.
 
-    The interval becomes its days, and days meet the date dimension by equality. A leave
-    without an end or with its end before its start has no days.
+    The interval, cut to the span of the date dimension, becomes its days, and days meet the
+    dimension by equality. A leave without an end or with its end before its start has no days.
     """
     working = dates.filter((F.col("day_is_weekday") == 1) & (F.col("holiday_us_federal_reserve") == 0)).select(
         F.col("full_date").alias("time_off_date")
     )
-    first = F.col("first_day_of_leave")
+    span = working.agg(F.struct(F.min("time_off_date").alias("low"), F.max("time_off_date").alias("high"))).scalar()
+    first = F.greatest(F.col("first_day_of_leave"), span["low"])
     last = F.coalesce("last_day_leave_actual", "last_day_leave_estimated")
     days = (
-        leave.filter(F.col("is_current") & (first <= last))
-        .withColumn("time_off_date", F.explode(F.sequence(first, last)))
+        leave.filter(F.col("is_current"))
+        .withColumn("__first", F.when(F.col("first_day_of_leave").isNotNull(), first))
+        .withColumn("__last", F.when(last.isNotNull(), F.least(last, span["high"])))
+        .filter(F.col("__first") <= F.col("__last"))
+        .withColumn("time_off_date", F.explode(F.sequence("__first", "__last")))
         .join(working, "time_off_date", "inner")
     )
     return days.select(

@@ -178,7 +178,7 @@ def profile_dataset(
         # The same ledger as above unless distincts were sketched, in which case only texts are counted.
         held = counted if not approx else texts
         ledger = V.value_ledger(df, held, nulls=False)
-        best = V.frequent_texts(ledger.filter(F.col(V.COLUMN).isin([held.index(c) for c in texts])), top).agg(
+        best = V.frequent_texts(df, held, ledger.filter(F.col(V.COLUMN).isin([held.index(c) for c in texts])), top).agg(
             *[F.max(F.when(F.col(V.COLUMN) == held.index(c), F.col("top"))).alias(f"t{i}") for i, c in enumerate(texts)]
         )
         parts.append(

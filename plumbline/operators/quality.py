@@ -125,10 +125,13 @@ def suggest_checks(
         text = V.shown_value(df, columns)
         order = Window.partitionBy(V.COLUMN).orderBy(*V.VALUE)
         in_rank = F.array_sort(F.collect_list(F.struct("rank", text.alias("t"))))
-        few = (
+        first = (
             ledger.filter(V.has_value())
             .select(V.COLUMN, *V.VALUE, F.row_number().over(order).alias("rank"))
             .filter(F.col("rank") <= MAX_ACCEPTED_VALUES + 1)
+        )
+        few = (
+            V.restore_texts(df, columns, first)
             .groupBy(V.COLUMN)
             .agg(
                 F.max("rank").alias("found"),

@@ -44,9 +44,10 @@ def _metrics(c: str, kind: str, integral: bool, source: str) -> str:
         for m, v in rows.items()
     ]
     if kind == "string":
+        tie = "CASE WHEN LENGTH(v) > 64 THEN LEFT(v, 64) || 'sha256:' || sha256(v) ELSE v END"
         parts.append(
-            f"SELECT 'string', '{c}', 'top_5_values', string_agg(v || ' (' || n || ')', ', ' ORDER BY n DESC, v) FROM "
-            f"(SELECT {c} AS v, COUNT(*) AS n FROM {source} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, v LIMIT 5)"
+            f"SELECT 'string', '{c}', 'top_5_values', string_agg(v || ' (' || n || ')', ', ' ORDER BY n DESC, {tie}) FROM "
+            f"(SELECT {c} AS v, COUNT(*) AS n FROM {source} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY n DESC, {tie} LIMIT 5)"
         )
     return " UNION ALL ".join(parts)
 

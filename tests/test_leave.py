@@ -194,3 +194,8 @@ def test_merge_stream(spark, tmp_path, late, expected):
     run()
     run()
     assert rows(T.merged_table(spark, str(tmp_path / "log"), "upi"), "employee_id", "status") == expected
+
+
+def test_far_end_is_cut_to_the_calendar(spark):
+    got = E.expand_leave_days(leave(spark, (1, D(2020, 1, 1), D(9999, 12, 31), None)), dates(spark))
+    assert got.count() == 43  # working days of the calendar

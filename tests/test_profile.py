@@ -181,3 +181,16 @@ def test_drift_windows(spark):
         D.window_interval("3 fortnights")
     for text in ("1 month", "2 weeks", "6 hours", "1 quarter", "1 year"):
         assert D.detect_drift(df, "t", text, text, "2024-01-31").columns[-1] == "drift_severity"
+
+
+def test_long_texts_are_counted_and_shown_whole(spark):
+    long_a, long_b = "a" * 500, "a" * 499 + "b"
+    df = spark.createDataFrame([(long_a,), (long_a,), (long_b,), ("short",), (None,)], "s string")
+    got = metrics(P.profile_dataset(df))
+    assert got["s", "distinct_values"] == "3"
+    assert got["s", "top_5_values"].startswith(f"{long_a} (2), ") and f"{long_b} (1)" in got["s", "top_5_values"]
+
+
+def test_drift_shows_long_texts(spark):
+    got = drifted(spark, [(1.0, "x" * 200)], [(1.0, "y" * 200)])
+    assert got["c", "top_category_change"]["recent_value"] == "x" * 200
