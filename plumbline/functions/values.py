@@ -87,7 +87,8 @@ def ledger_totals(ledger: DataFrame, *by: str) -> DataFrame:
     return ledger.groupBy(*by, COLUMN).agg(
         F.sum(COUNT).alias("rows"),
         F.coalesce(F.sum(F.when(has_value(), F.col(COUNT))), F.lit(0).cast("bigint")).alias("non_null"),
-        F.count_if(has_value()).alias("distinct"),
+        # reading the count keeps this branch equal to others over the same ledger, which then share its shuffle
+        F.count_if(has_value() & (F.col(COUNT) > 0)).alias("distinct"),
     )
 
 
@@ -120,16 +121,16 @@ def restore_texts(df: DataFrame, columns: Sequence[str], shown: DataFrame) -> Da
 
 
 def frequent_texts(df: DataFrame, columns: Sequence[str], ledger: DataFrame, k: int) -> DataFrame:
-    """``value (count)`` of the k most frequent texts per column, joined by a comma.
+    """``value (count)`` of the k most frequent texts per column of a text ledger without NULLs.
 
     The ranking filter is applied inside every task before the shuffle (window group limit),
     so at most k rows per task and column are moved.
     """
     ranking = Window.partitionBy(COLUMN).orderBy(F.col(COUNT).desc(), F.col(V_TEXT))
     best = (
-        ledger.filter(F.col(V_TEXT).isNotNull())
-        .select(COLUMN, V_TEXT, COUNT, F.row_number().over(ranking).alias("__rank"))
+        ledger.withColumn("__rank", F.row_number().over(ranking))
         .filter(F.col("__rank") <= k)
+        .select(COLUMN, V_TEXT, COUNT, "__rank")
     )
     best = restore_texts(df, columns, best)
     shown = F.concat(F.col(V_TEXT), F.lit(" ("), F.col(COUNT).cast("string"), F.lit(")"))

@@ -30,15 +30,16 @@ def _compared(old: DataFrame, keys: list[str], columns: Sequence[str] | None) ->
     return [c for c in (columns or old.columns) if c not in keys]
 
 
-def _repeated_keys(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame | None:
-    """Keys with several rows on a side, or None. Reads the key columns only."""
-    tally = side_tally([old, new], keys)
+def _survey_keys(old: DataFrame, new: DataFrame, keys: list[str]) -> tuple[DataFrame | None, bool]:
+    """Keys with several rows on a side (or None) and whether NULL keys occur; reads key columns only."""
     several = (F.col(on_side(0)) > 1) | (F.col(on_side(1)) > 1)
-    repeated = cut_lineage(tally.filter(several & ~any_null(keys)).select(*[col(k) for k in keys]))
-    found = repeated.count()
-    if found == 0:
-        return None
-    return F.broadcast(repeated) if found <= BROADCAST_KEYS else repeated
+    tally = side_tally([old, new], keys).select(*[col(k) for k in keys], several.alias("__several"))
+    odd = cut_lineage(tally.filter(F.col("__several") | any_null(keys)))
+    found = odd.agg(F.count_if(any_null(keys)), F.count_if(~any_null(keys))).first()
+    repeated = odd.filter(~any_null(keys)).select(*[col(k) for k in keys])
+    if found[1] == 0:
+        return None, found[0] > 0
+    return F.broadcast(repeated) if found[1] <= BROADCAST_KEYS else repeated, found[0] > 0
 
 
 def _sides(
@@ -145,15 +146,17 @@ def column_compare(
 ) -> DataFrame:
     """One row of cell counters per compared column over the full outer join on the key.
 
-    A pass over the key columns finds repeated keys; they are settled from value counts, the
-    rest by one shuffle join of unique keys. ``keys_are_unique`` skips that pass where the
-    caller already knows. ``row_status`` adds the number of rows present on one side only.
+    A pass over the key columns finds repeated and NULL keys. Repeated keys are settled from
+    value counts, rows with a NULL key match nothing, the rest is one shuffle join of unique
+    keys. ``keys_are_unique`` skips that pass where the caller already knows. ``row_status`` adds the number of rows present on one side only.
     """
     keys = as_list(key)
     columns = _compared(old, keys, columns)
-    repeated = None if keys_are_unique else _repeated_keys(old, new, keys)
+    repeated, null_keys = (None, True) if keys_are_unique else _survey_keys(old, new, keys)
     old_side, new_side = _sides(old, new, keys, columns)
-    joined = _matched_once(old_side, new_side, keys, repeated).unionByName(_keyless(old_side, new_side, keys))
+    joined = _matched_once(old_side, new_side, keys, repeated)
+    if null_keys:
+        joined = joined.unionByName(_keyless(old_side, new_side, keys))
     name = F.lit(f"{labels[0]} vs {labels[1]}").alias("comparison_name")
     status = [
         F.count_if(F.col("__in_new").isNull()).alias("only_in_old"),
@@ -198,9 +201,11 @@ def column_compare_rows(
     """
     keys = as_list(key)
     columns = _compared(old, keys, columns)
-    repeated = None if keys_are_unique else _repeated_keys(old, new, keys)
+    repeated, null_keys = (None, True) if keys_are_unique else _survey_keys(old, new, keys)
     old_side, new_side = _sides(old, new, keys, columns)
-    parts = [_matched_once(old_side, new_side, keys, repeated), _keyless(old_side, new_side, keys)]
+    parts = [_matched_once(old_side, new_side, keys, repeated)]
+    if null_keys:
+        parts.append(_keyless(old_side, new_side, keys))
     if repeated is not None:
         several_old = old_side.join(repeated, keys, "left_semi")
         several_new = new_side.join(repeated, keys, "left_semi")

@@ -162,28 +162,23 @@ def profile_dataset(
     counted = [c for c in columns if kinds[c] in (NUMERIC, STRING, DATE)]
     texts = [c for c in counted if kinds[c] == STRING]
     numbers = [c for c in columns if kinds[c] == NUMERIC]
-    if counted and not approx:
-        ledger = V.value_ledger(df, counted, nulls=False)
-        totals = V.ledger_totals(ledger).agg(
-            *[zero_if_null(F.max(F.when(F.col(V.COLUMN) == i, F.col("distinct")))).alias(f"d{i}") for i in range(len(counted))]
-        )
-        parts.append(
-            in_rows(
-                totals,
-                rows_of([(c, "distinct_values", F.col(f"d{i}").cast("string")) for i, c in enumerate(counted)]),
-                _LONG,
+    # Texts have a ledger of their own, which their distinct and most frequent values share.
+    for held in ([c for c in counted if c not in texts], texts):
+        if held and not approx:
+            totals = V.ledger_totals(V.value_ledger(df, held, nulls=False)).agg(
+                *[
+                    zero_if_null(F.max(F.when(F.col(V.COLUMN) == i, F.col("distinct")))).alias(f"d{i}")
+                    for i in range(len(held))
+                ]
             )
-        )
+            distinct = [(c, "distinct_values", F.col(f"d{i}").cast("string")) for i, c in enumerate(held)]
+            parts.append(in_rows(totals, rows_of(distinct), _LONG))
     if texts and top:
-        # The same ledger as above unless distincts were sketched, in which case only texts are counted.
-        held = counted if not approx else texts
-        ledger = V.value_ledger(df, held, nulls=False)
-        best = V.frequent_texts(df, held, ledger.filter(F.col(V.COLUMN).isin([held.index(c) for c in texts])), top).agg(
-            *[F.max(F.when(F.col(V.COLUMN) == held.index(c), F.col("top"))).alias(f"t{i}") for i, c in enumerate(texts)]
-        )
-        parts.append(
-            in_rows(best, rows_of([(c, f"top_{top}_values", F.col(f"t{i}")) for i, c in enumerate(texts)]), _LONG)
+        best = V.frequent_texts(df, texts, V.value_ledger(df, texts, nulls=False), top).agg(
+            *[F.max(F.when(F.col(V.COLUMN) == i, F.col("top"))).alias(f"t{i}") for i in range(len(texts))]
         )
+        shown = [(c, f"top_{top}_values", F.col(f"t{i}")) for i, c in enumerate(texts)]
+        parts.append(in_rows(best, rows_of(shown), _LONG))
     if numbers and not approx:
         probs = list(PERCENTILES.values())
         ranked = exact_percentiles(df, numbers, probs)

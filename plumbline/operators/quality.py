@@ -97,52 +97,47 @@ def suggest_checks(
         total(F.when(~V.has_value(), F.col(V.COUNT))).alias("n_null"),
         F.count_if(V.has_value() & (F.col(V.COUNT) > 1)).alias("n_repeated"),
     )
-    none = F.lit(None)
     name = V.name_column(columns, F.col(V.COLUMN))
-    shown = [name.alias("column_name")]
-    parts = []
+    fields = ("check_name", "args", "n_failing")
 
-    def part(rows: DataFrame, check: str, args: Column, failing: Column) -> None:
-        parts.append(
-            rows.select(
-                *shown,
-                F.lit(check).alias("check_name"),
-                args.cast("string").alias("args"),
-                failing.cast("bigint").alias("n_failing"),
-            )
-        )
+    def proposal(check: str, args: Column, failing: Column) -> Column:
+        values = (F.lit(check), args.cast("string"), failing.cast("bigint"))
+        return F.struct(*[v.alias(f) for v, f in zip(values, fields)])
 
-    if "not_null" in checks:
-        part(per_column, "not_null", none, F.col("n_null"))
-    if "unique" in checks:
-        part(per_column.filter(F.col(V.COLUMN) == 0), "unique", none, F.col("n_repeated"))
-    if "relationships" in checks:
-        foreign = per_column.filter(F.contains(F.lower(name), F.lit(FOREIGN_KEY_PART)))
-        target = F.concat(F.replace(name, F.lit(FOREIGN_KEY_PART), F.lit("")), F.lit("." + PARENT_FIELD))
-        part(foreign, "relationships", target, none)
+    none = F.lit(None)
+    foreign = F.contains(F.lower(name), F.lit(FOREIGN_KEY_PART))
+    parent = F.concat(F.replace(name, F.lit(FOREIGN_KEY_PART), F.lit("")), F.lit("." + PARENT_FIELD))
+    proposals = {
+        "not_null": proposal("not_null", none, F.col("n_null")),
+        "unique": F.when(F.col(V.COLUMN) == 0, proposal("unique", none, F.col("n_repeated"))),
+        "relationships": F.when(foreign, proposal("relationships", parent, none)),
+    }
+    wanted = F.array(*[p for check, p in proposals.items() if check in checks])
+    result = per_column.select(name.alias("column_name"), F.explode(F.array_compact(wanted)).alias("p")).select(
+        "column_name", "p.*"
+    )
     if "accepted_values" in checks:
-        # At most ten values per column and task survive the ranking, before any shuffle.
-        text = V.shown_value(df, columns)
-        order = Window.partitionBy(V.COLUMN).orderBy(*V.VALUE)
-        in_rank = F.array_sort(F.collect_list(F.struct("rank", text.alias("t"))))
-        first = (
-            ledger.filter(V.has_value())
-            .select(V.COLUMN, *V.VALUE, F.row_number().over(order).alias("rank"))
-            .filter(F.col("rank") <= MAX_ACCEPTED_VALUES + 1)
-        )
+        # NULL ranks last; at most eleven values per column and task survive, before any shuffle.
+        order = Window.partitionBy(V.COLUMN).orderBy((~V.has_value()).cast("int"), *V.VALUE)
         few = (
-            V.restore_texts(df, columns, first)
+            ledger.withColumn("rank", F.row_number().over(order))
+            .filter((F.col("rank") <= MAX_ACCEPTED_VALUES + 2) & V.has_value() & (F.col(V.COUNT) > 0))
+            .select(V.COLUMN, *V.VALUE, "rank")
+        )
+        in_rank = F.array_sort(F.collect_list(F.struct("rank", V.shown_value(df, columns).alias("text"))))
+        lists = (
+            V.restore_texts(df, columns, few)
             .groupBy(V.COLUMN)
             .agg(
                 F.max("rank").alias("found"),
-                F.array_join(F.transform(in_rank, lambda e: e["t"]), ", ").alias("list"),
+                F.array_join(F.transform(in_rank, lambda e: e["text"]), ", ").alias("list"),
             )
             .filter(F.col("found") <= MAX_ACCEPTED_VALUES)
         )
-        part(few, "accepted_values", F.col("list"), F.lit(0))
-    result = parts[0]
-    for more in parts[1:]:
-        result = result.unionByName(more)
+        accepted = lists.select(
+            name.alias("column_name"), proposal("accepted_values", F.col("list"), F.lit(0)).alias("p")
+        )
+        result = result.unionByName(accepted.select("column_name", "p.*"))
     return result.orderBy("column_name", "check_name")
 
 
