@@ -8,7 +8,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.functions import values as V
-from plumbline.functions.columns import any_null, as_list, col, comparable_cell, percent, ratio, zero_if_null
+from plumbline.functions.columns import (
+    any_null,
+    as_list,
+    col,
+    comparable_cell,
+    dtype_of,
+    family,
+    percent,
+    ratio,
+    zero_if_null,
+)
 from plumbline.functions.tally import SIDE, on_side, side_counts, side_tally, tag_sides, total
 from plumbline.session import cut_lineage
 
@@ -18,7 +28,7 @@ NULL_TO_VALUE = "NULL→VALUE"
 VALUE_TO_NULL = "VALUE→NULL"
 DIFFERENT = "DIFFERENT"
 
-BROADCAST_KEYS = 100_000  # repeated keys up to this count are broadcast, more are shuffled
+BROADCAST_KEYS = 100_000  # repeated keys that are broadcast, most frequent first
 
 _OLD, _NEW = "__old_", "__new_"
 
@@ -26,20 +36,44 @@ _OLD, _NEW = "__old_", "__new_"
 # ---------------------------------------------------------------- column comparison
 
 
-def _compared(old: DataFrame, keys: list[str], columns: Sequence[str] | None) -> list[str]:
-    return [c for c in (columns or old.columns) if c not in keys]
+def _compared(old: DataFrame, new: DataFrame, keys: list[str], columns: Sequence[str] | None) -> list[str]:
+    return [c for c in (columns or [c for c in old.columns if c in new.columns]) if c not in keys]
 
 
-def _survey_keys(old: DataFrame, new: DataFrame, keys: list[str]) -> tuple[DataFrame | None, bool]:
-    """Keys with several rows on a side (or None) and whether NULL keys occur; reads key columns only."""
-    several = (F.col(on_side(0)) > 1) | (F.col(on_side(1)) > 1)
-    tally = side_tally([old, new], keys).select(*[col(k) for k in keys], several.alias("__several"))
-    odd = cut_lineage(tally.filter(F.col("__several") | any_null(keys)))
+def _same_kind(old: DataFrame, new: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Columns whose types cannot be compared as they are become text on both sides."""
+    mixed = [c for c in columns if family(dtype_of(old, c)) != family(dtype_of(new, c))]
+    as_text = {c: col(c).cast("string") for c in mixed}
+    return old.withColumns(as_text), new.withColumns(as_text)
+
+
+def _survey_keys(old: DataFrame, new: DataFrame, keys: list[str]) -> tuple[list[DataFrame], bool]:
+    """Keys with several rows on a side, and whether NULL keys occur; reads key columns only.
+
+    Up to BROADCAST_KEYS repeated keys are one list to broadcast. Beyond that the most frequent
+    ones are broadcast and the rest, each holding at most 1 / BROADCAST_KEYS of the rows, is
+    a second list to shuffle.
+    """
+    most = F.greatest(on_side(0), on_side(1))
+    tally = side_tally([old, new], keys).select(*[col(k) for k in keys], most.alias("__most"))
+    odd = cut_lineage(tally.filter((F.col("__most") > 1) | any_null(keys)))
     found = odd.agg(F.count_if(any_null(keys)), F.count_if(~any_null(keys))).first()
-    repeated = odd.filter(~any_null(keys)).select(*[col(k) for k in keys])
+    null_keys, repeated = found[0] > 0, odd.filter(~any_null(keys))
+    names = [col(k) for k in keys]
     if found[1] == 0:
-        return None, found[0] > 0
-    return F.broadcast(repeated) if found[1] <= BROADCAST_KEYS else repeated, found[0] > 0
+        return [], null_keys
+    if found[1] <= BROADCAST_KEYS:
+        return [F.broadcast(repeated.select(*names))], null_keys
+    hot = cut_lineage(repeated.orderBy(F.col("__most").desc(), *names).limit(BROADCAST_KEYS).select(*names))
+    return [F.broadcast(hot), repeated.select(*names).join(F.broadcast(hot), keys, "left_anti")], null_keys
+
+
+def _without(df: DataFrame, repeated: list[DataFrame], keys: list[str]) -> DataFrame:
+    return reduce(lambda left, listed: left.join(listed, keys, "left_anti"), repeated, df)
+
+
+def _only(df: DataFrame, repeated: list[DataFrame], keys: list[str]) -> DataFrame:
+    return reduce(DataFrame.union, [df.join(listed, keys, "left_semi") for listed in repeated])
 
 
 def _sides(
@@ -58,12 +92,9 @@ def _keyless(old_side: DataFrame, new_side: DataFrame, keys: list[str]) -> DataF
 
 
 def _matched_once(
-    old_side: DataFrame, new_side: DataFrame, keys: list[str], repeated: DataFrame | None
+    old_side: DataFrame, new_side: DataFrame, keys: list[str], repeated: list[DataFrame]
 ) -> DataFrame:
-    old_side, new_side = old_side.filter(~any_null(keys)), new_side.filter(~any_null(keys))
-    if repeated is not None:
-        old_side = old_side.join(repeated, keys, "left_anti")
-        new_side = new_side.join(repeated, keys, "left_anti")
+    old_side, new_side = (_without(side.filter(~any_null(keys)), repeated, keys) for side in (old_side, new_side))
     return old_side.join(new_side, keys, "full_outer")
 
 
@@ -91,14 +122,14 @@ def _cell_counters(i: int) -> list[Column]:
 
 
 def _repeated_counters(
-    old: DataFrame, new: DataFrame, keys: list[str], columns: list[str], repeated: DataFrame
+    old: DataFrame, new: DataFrame, keys: list[str], columns: list[str], repeated: list[DataFrame]
 ) -> DataFrame:
     """The counters of all row pairs of repeated keys, from value counts instead of pairs.
 
     With o and n rows of a key, a value held by a and b of them adds a*b equal pairs; a key
     absent on one side pairs with one all-NULL row.
     """
-    rows = tag_sides([old, new], [*keys, *columns]).join(repeated, keys, "left_semi")
+    rows = _only(tag_sides([old, new], [*keys, *columns]), repeated, keys)
     key_names = [f"__k{i}" for i in range(len(keys))]
     carried = [col(k).alias(n) for k, n in zip(keys, key_names)]
     by_value = (
@@ -151,8 +182,9 @@ def column_compare(
     keys. ``keys_are_unique`` skips that pass where the caller already knows. ``row_status`` adds the number of rows present on one side only.
     """
     keys = as_list(key)
-    columns = _compared(old, keys, columns)
-    repeated, null_keys = (None, True) if keys_are_unique else _survey_keys(old, new, keys)
+    columns = _compared(old, new, keys, columns)
+    old, new = _same_kind(old, new, columns)
+    repeated, null_keys = ([], True) if keys_are_unique else _survey_keys(old, new, keys)
     old_side, new_side = _sides(old, new, keys, columns)
     joined = _matched_once(old_side, new_side, keys, repeated)
     if null_keys:
@@ -170,7 +202,7 @@ def column_compare(
     once = joined.agg(*counters, *status)
     shown = [f"{c}_{suffix}" for c in columns for suffix in _COUNTERS]
     extra = ["only_in_old", "only_in_new"] if row_status else []
-    if repeated is None:
+    if not repeated:
         return once.select(name, *[col(c) for c in shown + extra])
     per_column = _repeated_counters(old, new, keys, columns, repeated)
     more = per_column.agg(
@@ -200,15 +232,15 @@ def column_compare_rows(
     give; those keys go through inner and anti joins, which AQE can split when skewed.
     """
     keys = as_list(key)
-    columns = _compared(old, keys, columns)
-    repeated, null_keys = (None, True) if keys_are_unique else _survey_keys(old, new, keys)
+    columns = _compared(old, new, keys, columns)
+    old, new = _same_kind(old, new, columns)
+    repeated, null_keys = ([], True) if keys_are_unique else _survey_keys(old, new, keys)
     old_side, new_side = _sides(old, new, keys, columns)
     parts = [_matched_once(old_side, new_side, keys, repeated)]
     if null_keys:
         parts.append(_keyless(old_side, new_side, keys))
-    if repeated is not None:
-        several_old = old_side.join(repeated, keys, "left_semi")
-        several_new = new_side.join(repeated, keys, "left_semi")
+    if repeated:
+        several_old, several_new = _only(old_side, repeated, keys), _only(new_side, repeated, keys)
         parts += [
             several_old.join(several_new, keys, "inner"),
             several_old.join(several_new, keys, "left_anti"),

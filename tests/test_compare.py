@@ -66,8 +66,9 @@ def test_column_compare_null_and_repeated_keys(spark):
         assert found.get("NULL→VALUE", 0) == want[c + "_null_to_value_count"]
 
 
-def test_repeated_keys_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(C, "BROADCAST_KEYS", 0)
+@pytest.mark.parametrize("broadcast", [0, 3, 10**6])
+def test_repeated_keys_beyond_the_broadcast(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(C, "BROADCAST_KEYS", broadcast)
     old = spark.range(3000).selectExpr("cast(if(id % 3 = 0, 7, id % 50) as int) k", "cast(id % 4 as string) a", "cast(id % 5 as double) b")
     new = spark.range(2000).selectExpr("cast(if(id % 3 = 0, 7, id % 60) as int) k", "nullif(cast(id % 3 as string), '2') a", "cast(id % 7 as double) b")
     got = one(C.column_compare(old, new, "k"))
@@ -75,6 +76,15 @@ def test_repeated_keys_without_broadcast(spark, monkeypatch):
     assert {c: got[c] for c in want} == want
 
 
+def test_changed_types_and_columns(spark):
+    old = spark.createDataFrame([(1, 5, "x"), (2, 7, "y")], "k int, v int, gone string")
+    new = spark.createDataFrame([(1, "5", 1.0), (2, "n/a", 1.0)], "k bigint, v string, came double")
+    got = one(C.column_compare(old, new, "k"))
+    assert (got["v_same_count"], got["v_diff_count"]) == (1, 1) and len(got) == 5
+    wider = new.selectExpr("k", "cast(5 as bigint) v")
+    assert one(C.column_compare(old, wider, "k"))["v_same_count"] == 1
+
+
 def test_composite_key(spark):
     old = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, None, 3)], "k int, l string, v int")
     got = one(C.column_compare(old, old, ["k", "l"], row_status=True))
