@@ -93,5 +93,4 @@ def name_column(names: Sequence[str], index: Column) -> Column:
 
 def in_rows(df: DataFrame, rows: Sequence[Sequence[Column]], names: Sequence[str]) -> DataFrame:
     """Turn each input row into ``len(rows)`` output rows (wide to long)."""
-    structs = [F.struct(*[c.alias(n) for c, n in zip(row, names)]) for row in rows]
-    return df.select(F.inline(F.array(*structs)))
+    return df.select(F.stack(F.lit(len(rows)), *[c for row in rows for c in row]).alias(*names))

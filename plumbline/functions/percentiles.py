@@ -1,7 +1,7 @@
 """Exact continuous percentiles without holding a large group in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer, which is right for
-groups of a checked size. A larger group is answered in two passes: a bounded sketch
+A group of a checked size is ranked in one window over its counted values. A larger group is
+answered in two passes: a bounded sketch
 brackets each requested rank, then everything outside the brackets is only counted, the
 values inside are kept, and the rank is read from a running count. The kept values are a
 small fixed share of the rows and are cut into slices, so the running count of one bracket
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from plumbline.functions.columns import col
 from plumbline.session import cut_lineage
 
-SMALL_GROUP = 500_000  # groups up to this many rows are buffered
+SMALL_GROUP = 500_000  # groups up to this many rows are ranked in one window
 BROADCAST_GROUPS = 100_000  # larger groups up to this number are broadcast as a list
 ACCURACY = 1_000  # rank error of the sketch is rows / ACCURACY
 MARGIN = 4.0 / ACCURACY  # half width of a bracket, four times that error
@@ -58,7 +58,7 @@ def exact_percentiles(
     """
     columns, probs, by = list(columns), sorted(probs), list(by)
     if not by:
-        return (_buffered if df.count() <= small_group else _bracketed)(df, columns, probs, by)
+        return (_windowed if df.count() <= small_group else _bracketed)(df, columns, probs, by)
     sizes = df.groupBy(*[col(b) for b in by]).agg(F.count(F.lit(1)).alias("__size"))
     names = {b: f"__l{i}" for i, b in enumerate(by)}
     large = cut_lineage(
@@ -66,33 +66,40 @@ def exact_percentiles(
     )
     found = large.count()
     if found == 0:
-        return _buffered(df, columns, probs, by)
+        return _windowed(df, columns, probs, by)
     if found <= BROADCAST_GROUPS:
         large = F.broadcast(large)
     same = [col(b).eqNullSafe(F.col(n)) for b, n in names.items()]
-    small_part = _buffered(df.join(large, same, "left_anti"), columns, probs, by)
+    small_part = _windowed(df.join(large, same, "left_anti"), columns, probs, by)
     return small_part.unionByName(_bracketed(df.join(large, same, "left_semi"), columns, probs, by))
 
 
-def _buffered(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> DataFrame:
-    found = df.groupBy(*[col(b) for b in by]).agg(
-        *[F.percentile(col(c).cast("double"), probs).alias(f"__p{i}") for i, c in enumerate(columns)]
+def _narrow(df: DataFrame, columns: list[str], by: list[str]) -> tuple[DataFrame, list[str]]:
+    """Group keys and measured columns as doubles under names of their own."""
+    keys = [f"__g{i}" for i in range(len(by))]
+    measured = [col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(columns)]
+    return df.select(*[col(b).alias(k) for b, k in zip(by, keys)], *measured), keys
+
+
+def _cells(narrow: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """One row per value: group keys, column position, value."""
+    cells = [F.struct(F.lit(i).alias("c"), F.col(f"__x{i}").alias("v")) for i in range(len(columns))]
+    return narrow.select(*keys, F.inline(F.array(*cells))).filter(F.col("v").isNotNull())
+
+
+def _windowed(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> DataFrame:
+    narrow, keys = _narrow(df, columns, by)
+    counted = _cells(narrow, keys, columns).groupBy(*keys, "c", "v").agg(F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy(*keys, "c")
+    placed = counted.select(
+        *keys, "c", "v", "n", F.sum("n").over(group).alias("total"), F.sum("n").over(group.orderBy("v")).alias("upto")
     )
-    cells = [
-        F.struct(F.lit(c).alias("column_name"), F.lit(float(p)).alias("prob"), F.col(f"__p{i}")[j].alias("value"))
-        for i, c in enumerate(columns)
-        for j, p in enumerate(probs)
-    ]
-    return found.select(*[col(b) for b in by], F.inline(F.array(*cells)))
+    return _pick(placed, keys, columns, probs, by)
 
 
 def _bracketed(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> DataFrame:
-    keys = [f"__g{i}" for i in range(len(by))]
+    narrow, keys = _narrow(df, columns, by)
     measured = [f"__x{i}" for i in range(len(columns))]
-    narrow = df.select(
-        *[col(b).alias(k) for b, k in zip(by, keys)],
-        *[col(c).cast("double").alias(x) for c, x in zip(columns, measured)],
-    )
     bounds = (
         narrow.groupBy(*keys)
         .agg(*_bounds(measured, probs))
@@ -101,12 +108,10 @@ def _bracketed(df: DataFrame, columns: list[str], probs: list[float], by: list[s
     )
     if not by:
         bounds = F.broadcast(bounds)  # one row per column
-    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(x).alias("v")) for i, x in enumerate(measured)])
     same = [F.col("c") == F.col("__jc"), *[F.col(k).eqNullSafe(F.col("__j" + k)) for k in keys]]
     begun = reduce(lambda a, b: a + b, [(F.col("v") >= F.col("lows")[j]).cast("int") for j in range(len(probs))])
     rows = (
-        narrow.select(*keys, F.inline(cells))
-        .filter(F.col("v").isNotNull())
+        _cells(narrow, keys, columns)
         .join(bounds, same, "inner")
         .withColumn("k", begun)
         .withColumn("low", F.get("lows", F.col("k") - 1))
@@ -153,6 +158,12 @@ def _read_ranks(
         .join(offsets, same_slice, "inner")
         .select(*group, "v", "n", "total", (F.col("before") + F.sum("n").over(within)).alias("upto"))
     )
+    return _pick(placed, keys, columns, probs, by)
+
+
+def _pick(placed: DataFrame, keys: list[str], columns: list[str], probs: list[float], by: list[str]) -> DataFrame:
+    """Interpolated values at the wanted ranks of values with their count and running count."""
+    group = [*keys, "c"]
     first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
     picks = []
     for j, p in enumerate(probs):
