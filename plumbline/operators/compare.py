@@ -28,6 +28,7 @@ NULL_TO_VALUE = "NULL→VALUE"
 VALUE_TO_NULL = "VALUE→NULL"
 DIFFERENT = "DIFFERENT"
 
+MAX_PAIRS = 100_000_000  # pairs of rows with repeated keys that are listed row by row
 BROADCAST_KEYS = 100_000  # repeated keys that are broadcast, most frequent first
 
 _OLD, _NEW = "__old_", "__new_"
@@ -121,15 +122,13 @@ def _cell_counters(i: int) -> list[Column]:
     ]
 
 
-def _repeated_counters(
-    old: DataFrame, new: DataFrame, keys: list[str], columns: list[str], repeated: list[DataFrame]
-) -> DataFrame:
-    """The counters of all row pairs of repeated keys, from value counts instead of pairs.
+def _pair_counters(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Per key and column the counters of all row pairs, from value counts instead of pairs.
 
-    With o and n rows of a key, a value held by a and b of them adds a*b equal pairs; a key
-    absent on one side pairs with one all-NULL row.
+    ``rows`` are both sides with their side number. With o and n rows of a key, a value held
+    by a and b of them adds a*b equal pairs; a key absent on one side pairs with one all-NULL
+    row, and so does every row with a NULL key.
     """
-    rows = _only(tag_sides([old, new], [*keys, *columns]), repeated, keys)
     key_names = [f"__k{i}" for i in range(len(keys))]
     carried = [col(k).alias(n) for k, n in zip(keys, key_names)]
     by_value = (
@@ -145,27 +144,48 @@ def _repeated_counters(
         total(F.when(empty, F.col("n"))).alias("n_null"),
         total(F.when(~empty, F.col("o") * F.col("n"))).alias("equal"),
     )
-    padded = by_key.select(
+    o, n, o_null, n_null, equal = (F.col(c) for c in ("o", "n", "o_null", "n_null", "equal"))
+    unmatched = any_null(key_names) | (o == 0) | (n == 0)
+
+    def either(alone: Column, paired: Column, name: str) -> Column:
+        return F.when(unmatched, alone).otherwise(paired).alias(name)
+
+    zero = F.lit(0).cast("bigint")
+    return by_key.select(
+        *[F.col(n_).alias(k) for k, n_ in zip(keys, key_names)],
         V.COLUMN,
-        "equal",
-        F.greatest("o", F.lit(1)).alias("o"),
-        F.greatest("n", F.lit(1)).alias("n"),
-        F.when(F.col("o") == 0, F.lit(1)).otherwise(F.col("o_null")).alias("o_null"),
-        F.when(F.col("n") == 0, F.lit(1)).otherwise(F.col("n_null")).alias("n_null"),
-        (F.col("o") == 0).alias("only_new"),
-        (F.col("n") == 0).alias("only_old"),
-    )
-    o, n, o_null, n_null = (F.col(c) for c in ("o", "n", "o_null", "n_null"))
-    return padded.groupBy(V.COLUMN).agg(
-        total(F.col("equal") + o_null * n_null).alias(_COUNTERS[0]),
-        total((o - o_null) * (n - n_null) - F.col("equal")).alias(_COUNTERS[1]),
-        total(o_null * (n - n_null)).alias(_COUNTERS[2]),
-        total((o - o_null) * n_null).alias(_COUNTERS[3]),
-        total(F.when(F.col("only_old"), o)).alias("only_in_old"),
-        total(F.when(F.col("only_new"), n)).alias("only_in_new"),
+        either(o_null + n_null, equal + o_null * n_null, _COUNTERS[0]),
+        either(zero, (o - o_null) * (n - n_null) - equal, _COUNTERS[1]),
+        either(n - n_null, o_null * (n - n_null), _COUNTERS[2]),
+        either(o - o_null, (o - o_null) * n_null, _COUNTERS[3]),
+        either(o, zero, "only_in_old"),
+        either(n, zero, "only_in_new"),
     )
 
 
+def _repeated_counters(
+    old: DataFrame, new: DataFrame, keys: list[str], columns: list[str], repeated: list[DataFrame]
+) -> DataFrame:
+    rows = _only(tag_sides([old, new], [*keys, *columns]), repeated, keys)
+    counted = [*_COUNTERS, "only_in_old", "only_in_new"]
+    return _pair_counters(rows, keys, columns).groupBy(V.COLUMN).agg(*[total(F.col(c)).alias(c) for c in counted])
+
+
+def column_compare_by_key(
+    old: DataFrame, new: DataFrame, key: str | Sequence[str], columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The counters of :func:`column_compare` per key and column, in long form.
+
+    For keys with many rows on both sides, whose pairs :func:`column_compare_rows` would list:
+    here they are counted without being formed.
+    """
+    keys = as_list(key)
+    columns = _compared(old, new, keys, columns)
+    old, new = _same_kind(old, new, columns)
+    found = _pair_counters(tag_sides([old, new], [*keys, *columns]), keys, columns)
+    return V.named(found, columns).select(*[col(k) for k in keys], "column_name", *_COUNTERS)
+
+
 def column_compare(
     old: DataFrame,
     new: DataFrame,
@@ -225,11 +245,13 @@ def column_compare_rows(
     key: str | Sequence[str],
     columns: Sequence[str] | None = None,
     keys_are_unique: bool = False,
+    max_pairs: int = MAX_PAIRS,
 ) -> DataFrame:
     """The labelled rows behind :func:`column_compare`: key plus ``<column>_comparison``.
 
     A repeated key yields one row per pair, which is what the full outer join is defined to
-    give; those keys go through inner and anti joins, which AQE can split when skewed.
+    give. Where that is more than ``max_pairs`` rows nothing is listed but an error raised;
+    :func:`column_compare_by_key` answers such keys exactly without forming pairs.
     """
     keys = as_list(key)
     columns = _compared(old, new, keys, columns)
@@ -240,6 +262,11 @@ def column_compare_rows(
     if null_keys:
         parts.append(_keyless(old_side, new_side, keys))
     if repeated:
+        tally = _only(side_tally([old, new], keys), repeated, keys)
+        pairs = F.col(on_side(0)).cast("double") * F.col(on_side(1)).cast("double")
+        found = tally.agg(F.sum(pairs)).first()[0]
+        if found > max_pairs:
+            raise ValueError(f"{found:.0f} pairs of rows share a key: use column_compare_by_key, or raise max_pairs")
         several_old, several_new = _only(old_side, repeated, keys), _only(new_side, repeated, keys)
         parts += [
             several_old.join(several_new, keys, "inner"),

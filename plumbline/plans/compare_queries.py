@@ -45,6 +45,19 @@ def _(t: Inputs):
     return compare.column_compare(t.lines_old, t.lines_new, "l_orderkey", row_status=True)
 
 
+def _per_key(c: str) -> str:
+    return (
+        f"SELECT COALESCE(o.l_orderkey, n.l_orderkey) AS l_orderkey, '{c}' AS column_name,"
+        + _counters(c).replace(f"{c}_", "")
+        + " FROM {lines_old} o FULL JOIN {lines_new} n ON o.l_orderkey = n.l_orderkey GROUP BY 1"
+    )
+
+
+@query("column_compare_by_key", " UNION ALL ".join(map(_per_key, ["l_quantity", "l_returnflag"])))
+def _(t: Inputs):
+    return compare.column_compare_by_key(t.lines_old, t.lines_new, "l_orderkey")
+
+
 @query(
     "column_compare_rows",
     "SELECT COALESCE(o.o_orderkey, n.o_orderkey) AS o_orderkey, "

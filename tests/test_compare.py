@@ -66,6 +66,16 @@ def test_column_compare_null_and_repeated_keys(spark):
         assert found.get("NULL→VALUE", 0) == want[c + "_null_to_value_count"]
 
 
+def test_pairs_are_counted_not_listed(spark):
+    old, new = frames(spark, [(1, "x", 1.0)] * 40 + [(2, None, 1.0), (None, "n", 1.0)], [(1, "x", 2.0)] * 30 + [(1, "y", 1.0), (None, "n", 1.0)])
+    with pytest.raises(ValueError, match="1240 pairs"):
+        C.column_compare_rows(old, new, "k", max_pairs=1000)
+    assert C.column_compare_rows(old, new, "k").count() == 1240 + 1 + 2
+    got = {tuple(r)[:2]: tuple(r)[2:] for r in C.column_compare_by_key(old, new, "k").collect()}
+    assert got[1, "a"] == (1200, 40, 0, 0) and got[1, "b"] == (40, 1200, 0, 0)
+    assert got[2, "a"] == (1, 0, 0, 0) and got[2, "b"] == (0, 0, 0, 1) and got[None, "a"] == (0, 0, 1, 1)
+
+
 @pytest.mark.parametrize("broadcast", [0, 3, 10**6])
 def test_repeated_keys_beyond_the_broadcast(spark, monkeypatch, broadcast):
     monkeypatch.setattr(C, "BROADCAST_KEYS", broadcast)
