@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.llm.common import table
 from plumbline.llm.near_dedup import near_duplicates
+from plumbline.llm.packing import packed
+from plumbline.llm.sharding import first_map, grown_map, sharded
 from plumbline.llm.substring_dedup import without_repeated_spans
 from plumbline.llm.toxicity import toxic_passages
 
@@ -36,3 +38,26 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxic_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_tokens", "passages")
+
+
+SHARDS = 40
+
+
+@_query
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slot_map = first_map(spark, SHARDS)
+    found = sharded(table(spark, sf_dir, "documents"), slot_map, grown_map(slot_map))
+    names = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot", "slot_bytes")
+    return found.withColumn("law", F.lit("key")).select(*names)
+
+
+@_query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), word_tokenizer()).drop("token_ids")
+
+
+def word_tokenizer() -> str:
+    """The path of the public tokenizer that the packing query is bound to."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
