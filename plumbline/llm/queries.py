@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.llm.common import table
+from plumbline.llm.decontamination import leaked_items
+from plumbline.llm.licenses import license_scan
 from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.packing import packed
 from plumbline.llm.sharding import first_map, grown_map, sharded
@@ -61,3 +63,13 @@ def word_tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tag")
