@@ -42,7 +42,7 @@ def _is_number(token: Column) -> Column:
 def template(toks: Column) -> Column:
     """The hash of each token in lower case, or the code of its placeholder.
 
-    A name is a capitalised word that begins neither the text nor a sentence.
+    A name is a capitalised word that begins neither the text nor a sentence and is not all capitals.
     """
 
     def code(token: Column, i: Column) -> Column:
@@ -52,7 +52,7 @@ def template(toks: Column) -> Column:
         return (
             F.when(_is_number(token), F.lit(NUMBER))
             .when(first.isin(".", "!", "?", ":", "\n"), F.when(_is_number(bare), F.lit(NUMBER)).otherwise(F.xxhash64(F.lower(bare))))
-            .when((i > 0) & (first != F.lower(first)), F.lit(NAME))
+            .when((i > 0) & (first != F.lower(first)) & (token != F.upper(token)), F.lit(NAME))
             .when(F.lower(token).isin(*UNITS), F.when(follows_number, F.lit(UNIT)).otherwise(F.xxhash64(F.lower(token))))
             .otherwise(F.xxhash64(F.lower(token)))
             .cast("bigint")

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.llm.common import table
 from plumbline.llm.decontamination import leaked_items
+from plumbline.llm.embedding_dedup import embedding_near_duplicates
 from plumbline.llm.licenses import license_scan
 from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.packing import packed
 from plumbline.llm.sharding import first_map, grown_map, sharded
 from plumbline.llm.substring_dedup import without_repeated_spans
 from plumbline.llm.toxicity import toxic_passages
+from plumbline.llm.warc import archived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +75,14 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tag")
+
+
+@_query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = archived(table(spark, sf_dir, "pages"), least_revisit=0)
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset", "length")
+
+
+@_query
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
