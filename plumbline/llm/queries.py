@@ -10,6 +10,7 @@ from plumbline.llm.common import table
 from plumbline.llm.decontamination import leaked_items
 from plumbline.llm.embedding_dedup import embedding_near_duplicates
 from plumbline.llm.licenses import license_scan
+from plumbline.llm.lm_scoring import lm_scores
 from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.packing import packed
 from plumbline.llm.sharding import first_map, grown_map, sharded
@@ -86,3 +87,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@_query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("id").cast("string")) % 7 == 2
+    found = lm_scores(table(spark, sf_dir, "documents"), ~held_out)
+    names = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+    return found.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"), *names)

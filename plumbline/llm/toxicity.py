@@ -169,8 +169,8 @@ def _table(labelled: DataFrame, evidence: Column) -> list[float]:
     return [float(v) for v in np.maximum.accumulate(values)]
 
 
-def toxic_passages(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, score, predicted, n_tokens, passages) of every row of ``docs``.
+def toxic_passages(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", keep_tag: bool = False) -> DataFrame:
+    """(id, score, predicted, n_tokens, passages) of every row of ``docs``; with ``keep_tag`` also a fingerprint ``tag`` of its text.
 
     ``train`` is a condition over a column ``id``: the rows whose labels (doc_id, toxic 0/1) may be used. Of equal labelled texts one
     is learnt, with the label most of them have (a tie counts as toxic). Null labels are left out. Null, empty and
@@ -203,5 +203,5 @@ def toxic_passages(docs: DataFrame, labels: DataFrame, train: Column, doc_id: st
     here, then = F.element_at(cells, low + 1), F.element_at(cells, F.least(low + 2, F.lit(BINS + 1)))
     score = here + (then - here) * (place - low)
     return scanned.withColumn("score", score).select(
-        F.col("id").alias(doc_id), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "n_tokens", "passages"
+        F.col("id").alias(doc_id), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "n_tokens", "passages", *(["tag"] if keep_tag else [])
     )
