@@ -6,9 +6,10 @@ kept as ``floor(1 - log_b(minimum))``, cut to 0 .. q + 1. Registers of a union a
 of both, and two sets agree in a register with a probability of about their similarity.
 
 Documents of equal sets are one class from the start. Classes that agree in a whole band of
-registers meet in a bucket. A bucket is not expanded into pairs: its members meet the bucket's leader, confirmed links
-are joined into components, and only members of different components go on, twice by a new leader
-and then pair by pair, so no candidate of the bands is left out.
+registers meet in a bucket. A bucket is not expanded into pairs: its members meet a few leaders, and confirmed links are
+joined into components. Members of different components are then compared by their registers, in tiles of bounded size: first only the
+likeliest links of each member leave the tile, and after they have joined components, all pairs that likelihood lets through. So no
+candidate of the bands is left out, and few pairs that tell nothing new are verified.
 """
 
 from __future__ import annotations
@@ -23,9 +24,12 @@ from plumbline.llm.common import components, fingerprint, small_or_shuffled, sto
 from plumbline.llm.words import GOLDEN, find_words, mix, shingles
 
 REGISTERS, BAND = 128, 4  # 32 bands of 4 registers: a pair of similarity 0.8 is missed with probability 5e-8
+ESTIMATING = 512  # further registers of documents that share a bucket, for the likelihood
 LOG_BASE, RATE, TOP = np.log(1.02), 20.0, 4094  # b, a and q of the sketch
-ESTIMATE_SLACK = 0.2  # below the threshold by over five standard errors: not verified
-LEADER_ROUNDS = 3
+ESTIMATE_SLACK = 0.08  # below the threshold by four and a half standard errors: not verified
+LEADERS = 3  # of a bucket
+NEAREST = 2  # likely links of a member that are confirmed before all others
+TILE = 1_024  # members of a bucket compared with as many others at a time
 
 
 def registers(hashes: np.ndarray, offsets: np.ndarray, m: int = REGISTERS) -> np.ndarray:
@@ -83,15 +87,17 @@ def sketcher(size: int):
 
 
 def set_maker(size: int):
-    """Batches of (class, text) to (class, the sorted hashes of its set)."""
+    """Batches of (class, text) to (class, n_shingles, estimating registers, the sorted hashes of its set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, texts in text_chunks(batch.column(1)):
                 found, offsets = shingles(find_words(texts), size)
                 blobs = [found[a:b].tobytes() for a, b in zip(offsets, offsets[1:], strict=False)]
+                more = [row.tobytes() for row in registers(mix(found), offsets, ESTIMATING)]  # unlike the banded ones
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, len(texts)), pa.array(blobs, pa.binary())], names=["cls", "members"]
+                    [batch.column(0).slice(begin, len(texts)), pa.array(np.diff(offsets)), pa.array(more, pa.binary()), pa.array(blobs, pa.binary())],
+                    names=["cls", "n", "estimating", "members"],
                 )
 
     return run
@@ -150,18 +156,110 @@ def _verified(threshold: int):
     return run
 
 
-def _confirm(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of classes (a, b) whose sets are similar, with likelihood before the full comparison."""
-    side = sketches.select("cls", "n", "regs")
+def _likely(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of classes (a, b) of fitting sizes that likelihood lets through."""
+    side = sets.select("cls", "n", "estimating")
     known = pairs.join(side.toDF("a", "n_a", "regs_a"), "a").join(side.toDF("b", "n_b", "regs_b"), "b")
     sized = known.where(f"100 * least(n_a, n_b) >= {threshold} * greatest(n_a, n_b)")
-    likely = sized.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(_estimated(threshold), "a long, b long")
+    return sized.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(_estimated(threshold), "a long, b long")
+
+
+def _confirm(likely: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of classes (a, b) whose full sets are similar."""
     likely = stored(likely, "likely")
-    full = likely.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    side = sets.select("cls", "members")
+    full = likely.join(side.toDF("a", "set_a"), "a").join(side.toDF("b", "set_b"), "b")
     links = full.select("a", "b", "set_a", "set_b").mapInArrow(_verified(threshold), "a long, b long")
     return stored(links, "links")
 
 
+def _tiles(threshold: int, nearest: int | None):
+    """Sorted rows (bucket, first, second, side, band, cls, root, n, registers) to likely pairs between components.
+
+    A pair that meets in several bands is told by the first of them only. With ``nearest``, only pairs that are
+    among the likeliest of one of their ends are told.
+    """
+
+    def likeliest_of_each(end: np.ndarray, value: np.ndarray) -> np.ndarray:
+        order = np.lexsort((-value, end))
+        begins = np.flatnonzero(np.append(True, end[order][1:] != end[order][:-1]))
+        rank = np.arange(len(end)) - np.repeat(begins, np.diff(np.append(begins, len(end))))
+        keep = np.zeros(len(end), bool)
+        keep[order[rank < nearest]] = True
+        return keep
+
+    def compare(tile: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        side, cls, root, n = (tile.column(k).to_numpy() for k in ("side", "cls", "root", "n"))
+        band = tile.column("band")[0].as_py()
+        regs, more = (np.frombuffer(b"".join(tile.column(k).to_pylist()), np.uint16).reshape(len(cls), -1) for k in ("regs", "estimating"))
+        here = np.flatnonzero(side == 0)
+        there = np.flatnonzero(side == 1) if (side == 1).any() else here
+        found = []
+        for at in range(0, len(here), 64):
+            x = here[at : at + 64]
+            fits = (root[x][:, None] != root[there][None, :]) & (
+                100 * np.minimum(n[x][:, None], n[there][None, :]) >= threshold * np.maximum(n[x][:, None], n[there][None, :])
+            )
+            if there is here:
+                fits &= cls[x][:, None] < cls[there][None, :]
+            i, j = np.nonzero(fits)
+            for part in range(0, len(i), 1 << 14):  # bounds what is compared at once
+                a, b = x[i[part : part + (1 << 14)]], there[j[part : part + (1 << 14)]]
+                equal = (regs[a] == regs[b]).reshape(len(a), -1, BAND).all(axis=2)
+                new = equal.argmax(axis=1) == band
+                a, b = a[new], b[new]
+                if len(a):
+                    value = likeliest(n[a].astype(float), n[b].astype(float), more[a], more[b])
+                    good = value >= threshold / 100 - ESTIMATE_SLACK
+                    found.append((a[good], b[good], value[good]))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        a, b, value = (np.concatenate([f[k] for f in found]) for k in range(3))
+        if nearest is not None and len(a):
+            keep = likeliest_of_each(a, value) | likeliest_of_each(b, value)
+            a, b = a[keep], b[keep]
+        return cls[a], cls[b]
+
+    def told(tiles: list[pa.Table]) -> pa.RecordBatch:
+        pairs = [compare(t) for t in tiles]
+        ends = [np.concatenate([p[k] for p in pairs]) for k in (0, 1)]
+        low, high = np.minimum(*ends), np.maximum(*ends)
+        return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
+            keys = [table.column(k).to_numpy() for k in ("bucket", "first", "second")]
+            edges = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            bounds = [0, *edges.tolist()]
+            whole = [table.slice(a, b - a) for a, b in zip(bounds, bounds[1:], strict=False)]
+            held = table.slice(bounds[-1])
+            if whole:
+                yield told(whole)
+        if held is not None:
+            yield told([held])
+
+    return go
+
+
+def _likely_in_tiles(rest: DataFrame, classes: DataFrame, sets: DataFrame, threshold: int, nearest: int | None) -> DataFrame:
+    """Likely pairs (a, b) between components among the members (bucket, band, cls, root) of split buckets."""
+    slices = F.ceil(F.col("size") / TILE)
+    own = F.pmod(F.xxhash64("cls"), slices)
+    rows = rest.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
+    sketch = classes.select("cls", "regs").join(sets.select("cls", "n", "estimating"), "cls")
+    rows = rows.join(sketch, "cls").select(
+        "bucket", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "band", "cls", "root", "n", "regs", "estimating",
+    )
+    dealt = rows.repartition("bucket", "first", "second").sortWithinPartitions("bucket", "first", "second")
+    return dealt.mapInArrow(_tiles(threshold, nearest), "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, threshold: int = 80, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -185,39 +283,28 @@ def near_duplicates(
     digits = F.hex("regs")
     bands = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda k: F.substring(digits, k * width + 1, width))
     members = classes.select("cls", F.posexplode(bands).alias("band", "key")).select(
-        F.xxhash64("band", "key").alias("bucket"), "cls"
+        F.xxhash64("band", "key").alias("bucket"), F.col("band"), "cls"
     )
-    shared = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("cls").alias("leader")).where("size > 1")
-    members = stored(members.join(shared.select("bucket", "leader"), "bucket"), "members")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(members.join(shared, "bucket"), "members")
 
     sets = _sets_of(given, sketches, classes.join(members.select("cls").distinct(), "cls"), size)
 
-    pairs = members.where("cls <> leader").select(F.col("leader").alias("a"), F.col("cls").alias("b")).distinct()
-    links = _confirm(pairs, classes, sets, threshold)
-    for turn in range(LEADER_ROUNDS):
+    leaders = members.groupBy("bucket").agg(*[F.min_by("cls", F.xxhash64("cls", F.lit(k))).alias(f"led_{k}") for k in range(LEADERS)])
+    led = leaders.select("bucket", F.explode(F.array_distinct(F.array(*[f"led_{k}" for k in range(LEADERS)]))).alias("leader"))
+    pairs = members.join(led, "bucket").where("cls <> leader").select(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b"))
+    links = _confirm(_likely(pairs.distinct(), sets, threshold), sets, threshold)
+
+    for nearest in (NEAREST, None):
         roots = components(links)
-        placed = members.join(roots.toDF("cls", "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        # the only pair of a bucket of two has met
+        placed = members.where("size > 2").join(roots.toDF("cls", "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         split = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        open_members = stored(placed.join(split, "bucket"), "open")
-        if open_members.isEmpty():
+        rest = stored(placed.join(split.select("bucket"), "bucket"), "rest")
+        if rest.isEmpty():
             break
-        if turn < LEADER_ROUNDS - 1:
-            # the first member outside the leader's component leads next
-            of_leader = open_members.where("cls = leader").select("bucket", F.col("root").alias("led"))
-            next_leader = (
-                open_members.join(of_leader, "bucket", "left")
-                .where("led is null or root <> led")
-                .groupBy("bucket")
-                .agg(F.min(F.struct("cls", "root")).alias("n"))
-                .select("bucket", F.col("n.cls").alias("next"), F.col("n.root").alias("next_root"))
-            )
-            led = open_members.join(next_leader, "bucket")
-            pairs = led.where("root <> next_root").select(F.least("cls", "next").alias("a"), F.greatest("cls", "next").alias("b"))
-            members = stored(led.select("bucket", "cls", F.col("next").alias("leader")), "members")
-        else:
-            x, y = open_members.select("bucket", "cls", "root"), open_members.select("bucket", "cls", "root")
-            pairs = x.toDF("bucket", "a", "root_a").join(y.toDF("bucket", "b", "root_b"), "bucket").where("a < b and root_a <> root_b").select("a", "b")
-        links = stored(links.union(_confirm(pairs.distinct(), classes, sets, threshold)), "links")
+        more = _likely_in_tiles(rest, classes, sets, threshold, nearest)
+        links = stored(links.union(_confirm(more, sets, threshold)), "links")
     else:
         roots = components(links)
 
@@ -236,10 +323,10 @@ def near_duplicates(
 
 
 def _sets_of(given: DataFrame, sketches: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """Full sets (cls, members) of the wanted classes (cls, id, fp), from one row of each."""
+    """Full sets (cls, n, estimating, members) of the wanted classes (cls, id, fp), from one row of each."""
     rows = stored(wanted.select("cls", F.col("id").alias("of_id"), F.col("fp").alias("of_fp")), "wanted")
     found = given.join(small_or_shuffled(rows), F.expr("id <=> of_id and fp = of_fp")).select("cls", "text")
-    made = found.mapInArrow(set_maker(size), "cls long, members binary")
+    made = found.mapInArrow(set_maker(size), "cls long, n long, estimating binary, members binary")
     repeated = sketches.groupBy("id", "fp").count().where("count > 1")
     if not repeated.join(rows, F.expr("id <=> of_id and fp = of_fp"), "left_semi").isEmpty():
         made = made.dropDuplicates(["cls"])
