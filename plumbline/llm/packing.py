@@ -10,17 +10,21 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plumbline.llm.common import fingerprint, small_or_shuffled, stored, text_chunks
+from plumbline.llm.common import fingerprint, small_or_shuffled, stored, text_bytes, text_chunks
+from plumbline.llm.words import cut_strings, gathered
 
 DIMENSIONS, DIMENSION_BITS = 3, 10
 VECTOR_BITS = 9  # buckets of a hashed document vector
 SEED = 20_240
+CHUNK = 32 << 20  # bytes of text whose distinct words are encoded together
+ENCODED_AT_ONCE, WORDS_AT_ONCE, TEXTS_AT_ONCE = 20_000, 1_000, 512
 END = 2  # the token behind each document
 
 
@@ -51,39 +55,97 @@ def hilbert_key(cells: np.ndarray, bits: int = DIMENSION_BITS) -> np.ndarray:
 class WordEncoder:
     """Token ids of texts, each distinct word between ASCII white space encoded once per chunk.
 
-    For tokenizers that drop white space and never join characters across it.
+    For tokenizers that drop white space, lower-case, never join characters across white space and part letters from
+    punctuation.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets), END after each text."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        # tokens that close a word, if the tokenizer marks them
+        self.closes = None
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab()
+            self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _ids(self, strings: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+
+    def _encoded(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begin, size) of strings, a bounded number at a time.
+
+        Words of lower-case letters alone are encoded as one text and told apart by the tokens that close a word.
+        """
+        begin, size = np.zeros(len(strings), np.int64), np.zeros(len(strings), np.int64)
+        plain = pc.match_substring_regex(strings, r"^[\p{Ll}\p{Lo}]+$").to_numpy(zero_copy_only=False) & (self.closes is not None)
+        tables, done = [np.zeros(0, np.uint32)], 0
+        single = [np.flatnonzero(~plain)]
+        rows = np.flatnonzero(plain)
+        for at in range(0, len(rows), WORDS_AT_ONCE):
+            part = rows[at : at + WORDS_AT_ONCE]
+            ids = np.array(self._ids([" ".join(strings.take(pa.array(part)).to_pylist())])[0], np.uint32)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):  # some word is no single one to the tokenizer
+                single.append(part)
+                continue
+            size[part] = np.diff(ends, prepend=0)
+            begin[part] = done + ends - size[part]
+            tables.append(ids)
+            done += len(ids)
+        rows = np.concatenate(single)
+        for at in range(0, len(rows), ENCODED_AT_ONCE):
+            part = rows[at : at + ENCODED_AT_ONCE]
+            lists = self._ids(strings.take(pa.array(part)).to_pylist())
+            size[part] = np.fromiter(map(len, lists), np.int64, len(lists))
+            begin[part] = done + np.cumsum(size[part]) - size[part]
+            tables.append(np.fromiter(chain.from_iterable(lists), np.uint32, int(size[part].sum())))
+            done += len(tables[-1])
+        return np.concatenate(tables), begin, size
+
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of distinct words; closing marks behind a letter or digit are encoded apart."""
+        data, offsets = text_bytes(words)
+        marked = pc.match_substring_regex(words, "[0-9a-z][.,!?;:]+$")
+        cores = pc.if_else(marked, pc.ascii_rtrim(words, characters=".,!?;:"), words)
+        edge = offsets[:-1] + pc.binary_length(cores).to_numpy()
+        begins, sizes, tables, done = [], [], [], 0
+        for strings in (cores, cut_strings(data, edge, offsets[1:])):
+            coded = strings.dictionary_encode()
+            ids, begin, size = self._encoded(coded.dictionary)
+            of_word = coded.indices.to_numpy()
+            begins.append(begin[of_word] + done)
+            sizes.append(size[of_word])
+            tables.append(ids)
+            done += len(ids)
+        at, bounds = gathered(np.column_stack(sizes).ravel(), np.column_stack(begins).ravel())
+        return np.concatenate(tables)[at], bounds[::2]
+
+    def __call__(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first text, text behind, their ids, offsets) of consecutive groups of texts, END after each text."""
         listed = pc.ascii_split_whitespace(texts)
         counts = pc.list_value_length(listed).to_numpy()
         coded = listed.flatten().dictionary_encode()
         places, words = coded.indices.to_numpy(), coded.dictionary
         # the tokenizer lower-cases anyhow, but knows the exact spelling of its special tokens
         lowered = pc.if_else(pc.match_substring(words, "<|"), words, pc.ascii_lower(words)).dictionary_encode()
-        distinct = lowered.dictionary.to_pylist()
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(distinct, add_special_tokens=False)] if distinct else []
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        table = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(sizes.sum()))
-        starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-        of_word = lowered.indices.to_numpy()[places] if len(places) else np.zeros(0, np.int64)
-        # END counts as one more word of each text
-        bounds = np.concatenate(([0], np.cumsum(counts)))
-        ends = bounds[1:] + np.arange(len(counts))
-        n_words = len(of_word) + len(counts)
-        is_word = np.ones(n_words, bool)
-        is_word[ends] = False
-        begin, size = np.full(n_words, len(table)), np.ones(n_words, np.int64)
-        begin[is_word], size[is_word] = starts[of_word], sizes[of_word]
-        out = np.concatenate(([0], np.cumsum(size)))
-        ids = np.append(table, np.uint32(END))[np.arange(out[-1]) - np.repeat(out[:-1] - begin, size)]
-        return ids, np.concatenate(([0], out[ends + 1]))
+        table, bounds = self._of_words(lowered.dictionary)
+        lookup = lowered.indices.to_numpy()
+        table = np.append(table, np.uint32(END))
+        first = np.concatenate(([0], np.cumsum(counts)))
+        for a in range(0, len(texts), TEXTS_AT_ONCE):
+            b = min(a + TEXTS_AT_ONCE, len(texts))
+            of_word = lookup[places[first[a] : first[b]]]
+            # END counts as one more word of each text
+            ends = first[a + 1 : b + 1] - first[a] + np.arange(b - a)
+            is_word = np.ones(len(of_word) + b - a, bool)
+            is_word[ends] = False
+            begin, size = np.full(len(is_word), len(table) - 1), np.ones(len(is_word), np.int64)
+            begin[is_word], size[is_word] = bounds[of_word], bounds[of_word + 1] - bounds[of_word]
+            at, out = gathered(size, begin)
+            yield a, b, table[at], np.concatenate(([0], out[ends + 1]))
 
 
 def curve_keys(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -106,59 +168,66 @@ def _encode(path: str):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path)
         for batch in batches:
-            for at, texts in text_chunks(batch.column(2), 16 << 20):
-                ids, offsets = encoder(texts)
-                keys = np.empty(len(texts), np.int64)
-                for a in range(0, len(texts), 1024):  # bounds the table of counts
-                    b = min(a + 1024, len(texts))
-                    keys[a:b] = curve_keys(ids[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                packed = ids.astype("<u2") if ids.size == 0 or ids.max() < 1 << 16 else ids.astype("<u4")
-                width = packed.dtype.itemsize
-                raw = pa.py_buffer(packed.tobytes())
-                blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets * width), raw])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(batch.column(k).slice(at, len(texts)) for k in (0, 1)),
-                        pa.array(keys), pa.array(np.diff(offsets)), pa.array(np.full(len(texts), width)), blobs.cast(pa.binary()),
-                    ],
-                    names=["id", "tag", "key", "n", "width", "ids"],
-                )
+            for at, texts in text_chunks(batch.column(2), CHUNK):
+                for a, b, ids, offsets in encoder(texts):
+                    keys = curve_keys(ids, offsets)
+                    packed = ids.astype("<u2") if ids.max() < 1 << 16 else ids.astype("<u4")
+                    width = packed.dtype.itemsize
+                    blobs = pa.LargeBinaryArray.from_buffers(
+                        pa.large_binary(), b - a, [None, pa.py_buffer(offsets * width), pa.py_buffer(packed.tobytes())]
+                    )
+                    own = batch.slice(at + a, b - a)
+                    yield pa.RecordBatch.from_arrays(
+                        [own.column(0), own.column(1), pa.array(keys), pa.array(np.diff(offsets)), pa.array(np.full(b - a, width)), blobs.cast(pa.binary())],
+                        names=["id", "tag", "key", "n", "width", "ids"],
+                    )
 
     return go
 
 
-def _cut(length: int):
+def _cut(length: int, with_ids: bool):
     """Batches of (id, place in the stream, width, ids) to pieces."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[list[int]] = [[] for _ in range(7)]
             raws = []
-            for i, (place, width, blob) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)):
-                ids = np.frombuffer(blob, "<u2" if width == 2 else "<u4").astype("<u4")
+            places, widths = (batch.column(k).to_pylist() for k in (1, 2))
+            for i, (place, width, blob) in enumerate(zip(places, widths, batch.column(3), strict=True)):
+                ids = np.frombuffer(blob.as_buffer(), "<u2" if width == 2 else "<u4").astype("<u4")
                 begin = 0
                 while begin < len(ids):
                     sequence, offset = divmod(place + begin, length)
                     end = min(len(ids), begin + length - offset)
-                    raw = ids[begin:end].tobytes()
+                    raw = memoryview(ids[begin:end]).cast("B")
                     for row, value in zip(rows, (i, begin, end - begin, zlib.crc32(raw), len(ids), sequence, offset), strict=True):
                         row.append(value)
-                    raws.append(raw)
+                    if with_ids:
+                        raws.append(raw.tobytes())
                     begin = end
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows[0], pa.int64())), *(pa.array(r, pa.int64()) for r in rows[1:]), pa.array(raws, pa.binary())],
-                names=["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "token_ids"],
+                [
+                    batch.column(0).take(pa.array(rows[0], pa.int64())),
+                    *(pa.array(r, pa.int64()) for r in rows[1:]),
+                    *([pa.array(raws, pa.binary())] if with_ids else []),
+                ],
+                names=["id", *NUMBERS, *(["token_ids"] if with_ids else [])],
             )
 
     return go
 
 
-def packed(docs: DataFrame, tokenizer: str, length: int = 4096, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+NUMBERS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def packed(
+    docs: DataFrame, tokenizer: str, length: int = 4096, with_ids: bool = True, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """Pieces (id, start, length, ids_crc32, doc_tokens, sequence_id, offset, token_ids) of sequences of ``length`` tokens.
 
     ``tokenizer`` is the path of a tokenizer file on every executor. A null text is an empty one: its only token
     is END. Only the last sequence is not full. ``token_ids`` holds the piece's ids as unsigned 32-bit
-    little-endian integers. Equal keys are ordered by id, then by a fingerprint of the text; repeated rows and
+    little-endian integers, and is left out without ``with_ids``. Equal keys are ordered by id, then by a fingerprint of the text; repeated rows and
     rows without id are documents of their own. Other columns are not read.
     """
     spark = docs.sparkSession
@@ -180,6 +249,5 @@ def packed(docs: DataFrame, tokenizer: str, length: int = 4096, doc_id: str = "d
     places = ranged.withColumn("inner", F.coalesce(F.sum("n").over(running), F.lit(0))).join(F.broadcast(bases), "part")
     places = stored(places.select("row", (F.col("base") + F.col("inner")).alias("place")), "places")
     placed = coded.join(small_or_shuffled(places), "row").select("id", "place", "width", "ids")
-    numbers = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
-    found = placed.mapInArrow(_cut(length), f"id {id_type}, {', '.join(f'{c} long' for c in numbers)}, token_ids binary")
-    return found.withColumnRenamed("id", doc_id)
+    schema = f"id {id_type}, {', '.join(f'{c} long' for c in NUMBERS)}" + (", token_ids binary" if with_ids else "")
+    return placed.mapInArrow(_cut(length, with_ids), schema).withColumnRenamed("id", doc_id)

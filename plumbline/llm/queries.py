@@ -58,7 +58,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"), word_tokenizer()).drop("token_ids")
+    return packed(table(spark, sf_dir, "documents"), word_tokenizer(), with_ids=False)
 
 
 def word_tokenizer() -> str:

@@ -116,3 +116,15 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     fresh[offsets[:-1][counts > 0]] = True
     kept = np.concatenate(([0], np.cumsum(fresh)))[offsets]
     return found[fresh], kept
+
+
+def gathered(size: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, offsets) that read runs of ``size`` entries from ``begin`` on, one after the other."""
+    offsets = np.concatenate(([0], np.cumsum(size)))
+    return np.arange(offsets[-1]) + np.repeat(begin - offsets[:-1], size), offsets
+
+
+def cut_strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The strings data[begin[i]:end[i]]."""
+    at, offsets = gathered(end - begin, begin)
+    return pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[at].tobytes()))
