@@ -23,7 +23,7 @@ from plumbline.llm.words import cut_strings, gathered
 DIMENSIONS, DIMENSION_BITS = 3, 10
 VECTOR_BITS = 9  # buckets of a hashed document vector
 SEED = 20_240
-CHUNK = 32 << 20  # bytes of text whose distinct words are encoded together
+CHUNK = 12 << 20  # bytes of text whose distinct words are encoded together
 ENCODED_AT_ONCE, WORDS_AT_ONCE, TEXTS_AT_ONCE = 20_000, 1_000, 512
 END = 2  # the token behind each document
 
