@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from plumbline.session import scratch_dir
 
 SMALL_SIDE_ROWS = 1_000_000  # a counted side of up to so many short rows may be broadcast
+ROW_GROUP_BYTES = 32 << 20  # of stored tables: what a writing task holds in memory
 CHUNK_BYTES = 2 << 20  # text handled by one vectorised step inside a task
 
 
@@ -25,7 +26,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     of an operator is lazy and may still read it.
     """
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

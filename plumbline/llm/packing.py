@@ -8,6 +8,7 @@ in the order: places come from running sums in key ranges and the ranges' totals
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -23,7 +24,7 @@ from plumbline.llm.words import cut_strings, gathered
 DIMENSIONS, DIMENSION_BITS = 3, 10
 VECTOR_BITS = 9  # buckets of a hashed document vector
 SEED = 20_240
-CHUNK = 12 << 20  # bytes of text whose distinct words are encoded together
+CHUNK = 24 << 20  # bytes of text whose distinct words are encoded together
 ENCODED_AT_ONCE, WORDS_AT_ONCE, TEXTS_AT_ONCE = 20_000, 1_000, 512
 END = 2  # the token behind each document
 
@@ -60,6 +61,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads hold more memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -181,6 +183,7 @@ def _encode(path: str):
                         [own.column(0), own.column(1), pa.array(keys), pa.array(np.diff(offsets)), pa.array(np.full(b - a, width)), blobs.cast(pa.binary())],
                         names=["id", "tag", "key", "n", "width", "ids"],
                     )
+                pa.default_memory_pool().release_unused()
 
     return go
 
