@@ -6,7 +6,7 @@ kept as ``floor(1 - log_b(minimum))``, cut to 0 .. q + 1. Registers of a union a
 of both, and two sets agree in a register with a probability of about their similarity.
 
 Documents of equal sets are one class from the start. Classes that agree in a whole band of
-registers meet in a bucket. A bucket is not expanded into pairs: its members meet a few leaders, and confirmed links are
+registers meet in a bucket. A bucket is not expanded into pairs: its members meet its leader, and confirmed links are
 joined into components. Members of different components are then compared by their registers, in tiles of bounded size: first only the
 likeliest links of each member leave the tile, and after they have joined components, all pairs that likelihood lets through. So no
 candidate of the bands is left out, and few pairs that tell nothing new are verified.
@@ -24,10 +24,10 @@ from plumbline.llm.common import components, fingerprint, small_or_shuffled, sto
 from plumbline.llm.words import GOLDEN, find_words, mix, shingles
 
 REGISTERS, BAND = 128, 4  # 32 bands of 4 registers: a pair of similarity 0.8 is missed with probability 5e-8
-ESTIMATING = 512  # further registers of documents that share a bucket, for the likelihood
+ESTIMATING = 1_024  # further registers of documents that share a bucket, for the likelihood
 LOG_BASE, RATE, TOP = np.log(1.02), 20.0, 4094  # b, a and q of the sketch
-ESTIMATE_SLACK = 0.08  # below the threshold by four and a half standard errors: not verified
-LEADERS = 3  # of a bucket
+ESTIMATE_SLACK = 0.057  # below the threshold by four and a half standard errors: not verified
+LEADERS = 1  # of a bucket
 NEAREST = 2  # likely links of a member that are confirmed before all others
 TILE = 1_024  # members of a bucket compared with as many others at a time
 
@@ -293,7 +293,8 @@ def near_duplicates(
     leaders = members.groupBy("bucket").agg(*[F.min_by("cls", F.xxhash64("cls", F.lit(k))).alias(f"led_{k}") for k in range(LEADERS)])
     led = leaders.select("bucket", F.explode(F.array_distinct(F.array(*[f"led_{k}" for k in range(LEADERS)]))).alias("leader"))
     pairs = members.join(led, "bucket").where("cls <> leader").select(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b"))
-    links = _confirm(_likely(pairs.distinct(), sets, threshold), sets, threshold)
+    tried = stored(_likely(pairs.distinct(), sets, threshold), "likely")
+    links = _confirm(tried, sets, threshold)
 
     for nearest in (NEAREST, None):
         roots = components(links)
@@ -304,6 +305,8 @@ def near_duplicates(
         if rest.isEmpty():
             break
         more = _likely_in_tiles(rest, classes, sets, threshold, nearest)
+        more = stored(more.join(tried, ["a", "b"], "left_anti"), "likely")  # no pair is verified twice
+        tried = tried.union(more)
         links = stored(links.union(_confirm(more, sets, threshold)), "links")
     else:
         roots = components(links)
