@@ -95,3 +95,29 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lm_scores(table(spark, sf_dir, "documents"), ~held_out)
     names = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
     return found.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"), *names)
+
+
+ORACLES["op3_minhash_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 4 THEN ws ELSE ws[k:k + 3] END AS shingle
+  FROM (SELECT doc_id, ws, UNNEST(range(1, GREATEST(len(ws) - 2, 2))) AS k FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS node, doc_id AS low FROM documents UNION SELECT b, low FROM reach JOIN links ON node = a)
+SELECT d.doc_id, COALESCE(n.n, 0) AS n_shingles, MIN(low) AS component_id, MIN(low) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN reach ON node = d.doc_id GROUP BY d.doc_id, n.n
+"""
+
+ORACLES["op7_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.e) = len(q.e)
+  WHERE list_cosine_similarity(p.e, q.e) >= 0.93),
+reach AS (SELECT vec_id AS node, vec_id AS low FROM embeddings UNION SELECT b, low FROM reach JOIN links ON node = a),
+degree AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a)
+SELECT vec_id, COALESCE(n, 0) AS n_links, MIN(low) AS component_id, MIN(low) = vec_id AS kept
+FROM embeddings LEFT JOIN degree ON a = vec_id JOIN reach ON node = vec_id GROUP BY vec_id, n
+"""
