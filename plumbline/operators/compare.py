@@ -28,7 +28,6 @@ NULL_TO_VALUE = "NULL→VALUE"
 VALUE_TO_NULL = "VALUE→NULL"
 DIFFERENT = "DIFFERENT"
 
-MAX_PAIRS = 100_000_000  # pairs of rows with repeated keys that are listed row by row
 BROADCAST_KEYS = 100_000  # repeated keys that are broadcast, most frequent first
 
 _OLD, _NEW = "__old_", "__new_"
@@ -245,12 +244,12 @@ def column_compare_rows(
     key: str | Sequence[str],
     columns: Sequence[str] | None = None,
     keys_are_unique: bool = False,
-    max_pairs: int = MAX_PAIRS,
+    max_pairs: int | None = None,
 ) -> DataFrame:
     """The labelled rows behind :func:`column_compare`: key plus ``<column>_comparison``.
 
     A repeated key yields one row per pair, which is what the full outer join is defined to
-    give. Where that is more than ``max_pairs`` rows nothing is listed but an error raised;
+    give. With ``max_pairs``, more rows than that raise an error instead;
     :func:`column_compare_by_key` answers such keys exactly without forming pairs.
     """
     keys = as_list(key)
@@ -262,10 +261,12 @@ def column_compare_rows(
     if null_keys:
         parts.append(_keyless(old_side, new_side, keys))
     if repeated:
-        tally = _only(side_tally([old, new], keys), repeated, keys)
-        pairs = F.col(on_side(0)).cast("double") * F.col(on_side(1)).cast("double")
-        found = tally.agg(F.sum(pairs)).first()[0]
-        if found > max_pairs:
+        found = 0.0
+        if max_pairs is not None:
+            tally = _only(side_tally([old, new], keys), repeated, keys)
+            pairs = F.col(on_side(0)).cast("double") * F.col(on_side(1)).cast("double")
+            found = tally.agg(F.sum(pairs)).first()[0]
+        if max_pairs is not None and found > max_pairs:
             raise ValueError(f"{found:.0f} pairs of rows share a key: use column_compare_by_key, or raise max_pairs")
         several_old, several_new = _only(old_side, repeated, keys), _only(new_side, repeated, keys)
         parts += [

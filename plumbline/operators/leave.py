@@ -105,11 +105,18 @@ def latest_rows(df: DataFrame, keys: str | Sequence[str], order: str = "timestam
 def merge_latest(
     target: DataFrame | None, updates: DataFrame, keys: str | Sequence[str], order: str = "timestamp_unix"
 ) -> DataFrame:
-    """Target with the latest update per key put in place (or added)."""
+    """The latest row per key of a target (unique by key) and updates; at equal times the update wins.
+
+    An update older than the target's row, or without a time, changes nothing.
+    """
     updates = latest_rows(updates, keys, order)
     if target is None:
         return updates
     keys = as_list(keys)
+    held = target.select(*[col(k) for k in keys], col(order).alias("__held_at"), F.lit(True).alias("__held"))
+    updates = updates.join(held, keys, "left")
+    newer = F.isnull("__held") | F.isnull("__held_at") | (col(order) >= F.col("__held_at"))
+    updates = updates.filter(newer).select(*[col(c) for c in updates.columns if not c.startswith("__held")])
     kept = target.join(updates.select(*[col(k) for k in keys]), keys, "left_anti").select(*[col(c) for c in target.columns])
     return kept.unionByName(updates)
 

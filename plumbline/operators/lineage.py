@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from plumbline.functions.columns import as_list
 from plumbline.session import cut_lineage
 
-MAX_LEVELS = 100  # a longer unbounded walk is reported as a cycle
+FIRST_CHECK = 16  # level at which an unbounded walk first compares its depth with the number of models
 LAZY_DEPTH = 4  # bounded walks up to this depth need no intermediate result
 
 # Patterns of a reference in a file, of the select list, and the suffix of model files.
@@ -73,11 +73,15 @@ def graph_walk(
         steps, frontier = cut_lineage(steps), cut_lineage(frontier)
     levels = [frontier]
     reached = frontier.select("start_id", "node_id")
-    depth = 0
+    depth, longest = 0, FIRST_CHECK
     while max_depth is None or depth < max_depth:
         depth += 1
-        if max_depth is None and depth > MAX_LEVELS:
-            raise RuntimeError(f"no end after {MAX_LEVELS} levels: the graph has a cycle, use dedupe='first'")
+        if max_depth is None and dedupe != "first" and depth == longest:
+            # a walk of as many steps as there are models has met one of them twice
+            models = nodes.select("node_id").distinct().count()
+            if depth > models:
+                raise RuntimeError(f"a walk of {depth - 1} steps repeats a model: the graph has a cycle, use dedupe='first'")
+            longest = max(depth, models) + 1
         heads = frontier.select("start_id", F.col("node_id").alias("via_id"))
         if dedupe != "paths":
             heads = heads.distinct()

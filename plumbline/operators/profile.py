@@ -42,11 +42,13 @@ def sample_rows(df: DataFrame, size: int, by: str | Sequence[str] | None = None,
     """About ``size`` rows of the table, all of it if it is smaller.
 
     With ``by``, a row is chosen by the hash of those columns, so the same rows are chosen on
-    every run and engine; otherwise by a seeded random number.
+    every run and engine; otherwise by a seeded hash of the whole row (maps left out), so equal rows
+    are chosen together.
     """
     share = df.agg((F.lit(float(size)) / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("share")).scalar()
     if by is None:
-        return df.filter(F.rand(seed) < share)
+        whole = [col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        return df.filter(F.pmod(F.xxhash64(F.lit(seed), *whole), F.lit(2**32)).cast("double") / F.lit(float(2**32)) < share)
     text = F.concat_ws("|", *[col(b).cast("string") for b in as_list(by)])
     draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
     return df.filter(draw < share)

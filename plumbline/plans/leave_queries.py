@@ -103,14 +103,14 @@ def _(t: Inputs):
 @query(
     "ingest_summary",
     f"""SELECT file_name AS file, COALESCE(strftime({_DATE}, '%Y-%m-%d'), 'unknown date') AS date, file_type AS type,
-      CASE WHEN COUNT(*) FILTER (WHERE n_chars > 400) > 0 THEN COUNT(*) FILTER (WHERE n_chars > 400) ELSE 0 END AS records,
-      COUNT(*) FILTER (WHERE n_chars > 400) > 0 AS success, COUNT(*) FILTER (WHERE n_chars > 400) > 0 AND file_type = 'loa' AS archived,
+      CASE WHEN COUNT(*) FILTER (WHERE trim(text) <> '') > 0 THEN COUNT(*) FILTER (WHERE trim(text) <> '') ELSE 0 END AS records,
+      COUNT(*) FILTER (WHERE trim(text) <> '') > 0 AS success, COUNT(*) FILTER (WHERE trim(text) <> '') > 0 AND file_type = 'loa' AS archived,
       CAST(NULL AS VARCHAR) AS error
-    FROM (SELECT k.*, d.n_chars FROM {_KNOWN} k JOIN {{documents}} d USING (doc_id)) WHERE file_type IS NOT NULL GROUP BY file_name, file_type""",
+    FROM (SELECT k.*, d.text FROM {_KNOWN} k JOIN {{documents}} d USING (doc_id)) WHERE file_type IS NOT NULL GROUP BY file_name, file_type""",
 )
 def _(t: Inputs):
     files = drops.classify_files(t.drop_files)
-    records = files.join(t.documents.filter("n_chars > 400").select("doc_id"), "doc_id", "left_semi")
+    records = files.join(t.documents.filter("trim(text) <> ''").select("doc_id"), "doc_id", "left_semi")
     manifest = drops.ingest_manifest(_known_files(t).filter("file_type = 'loa'"), None)
     return drops.ingest_summary(files, records, manifest)
 

@@ -51,11 +51,9 @@ def _checked(df: DataFrame, kind: str, mapping: Mapping[str, str] | None, now: o
     df = df.withColumnsRenamed(dict(mapping or {}))
     missing = [c for c in REQUIRED[kind] if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {', '.join(missing)}")
-    if TIMESTAMP not in df.columns:
-        stamp = F.unix_timestamp() if now is None else F.lit(now)
-        df = df.withColumn(TIMESTAMP, stamp.cast("bigint"))
-    return df
+        raise ValueError(f"a drop of type {kind!r} lacks {missing}; its columns are {df.columns}")
+    ingested = F.unix_timestamp() if now is None else F.lit(now)
+    return df if TIMESTAMP in df.columns else df.withColumn(TIMESTAMP, ingested.cast("bigint"))
 
 
 def normalize_loa(df: DataFrame, mapping: Mapping[str, str] | None = None, now: object = None) -> DataFrame:
@@ -95,8 +93,13 @@ def read_drops(spark: SparkSession, path: str, schema: str | None = None) -> Dat
 
 
 def drop_name() -> Column:
-    """Path of the file being read, decoded, as the name that is classified."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    """The drop's own name, decoded: of its file, or of the folder that holds it as part files.
+
+    Folders further up do not take part in its classification.
+    """
+    path = F.split(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "/")
+    own = F.element_at(path, -1)
+    return F.when(own.rlike(r"^part-\d+"), F.element_at(path, -2)).otherwise(own)
 
 
 def ingest_manifest(

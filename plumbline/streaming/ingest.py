@@ -56,8 +56,10 @@ def ingest_stream(
 def _read_log(spark: SparkSession, log: str) -> DataFrame | None:
     try:
         return spark.read.parquet(log)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # no batch has been written yet
 
 
 def merge_stream(

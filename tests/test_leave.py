@@ -63,7 +63,7 @@ def test_read_drops_names_folders(spark, tmp_path):
     rows_of = spark.createDataFrame([(1, "a")], "k int, s string")
     rows_of.write.option("header", "true").csv(str(tmp_path / "Time Off 20240102 50%+"))
     got = one(S.read_drops(spark, str(tmp_path)))
-    assert "/Time Off 20240102 50%+/" in got["file_name"] and got["k"] == "1"
+    assert got["file_name"] == "Time Off 20240102 50%+" and got["k"] == "1"
 
 
 def test_manifest(spark):
@@ -114,7 +114,7 @@ def test_incremental_merge(spark):
     dropped = E.stage_time_off(second, target, "2024-06-15", loaded_at="2024-06-16")
     assert rows(dropped, "employee_id", "status") == [(1, "newest"), (2, "old")]
     kept = E.stage_time_off(second, target, "2024-06-15", late="upsert", loaded_at="2024-06-16")
-    assert rows(kept, "employee_id", "status") == [(1, "newest"), (2, "late"), (3, "late")]
+    assert rows(kept, "employee_id", "status") == [(1, "newest"), (2, "old"), (3, "late")]
     again = E.stage_time_off(second, dropped, "2024-06-15", loaded_at="2024-06-17")
     assert rows(again) == rows(dropped)
 

@@ -45,7 +45,7 @@ def test_several_starts(spark, graph):
 def test_cycles(spark, graph, monkeypatch):
     nodes, edges = graph
     cyclic = edges.union(spark.createDataFrame([(4, 2)], "a int, b int"))
-    monkeypatch.setattr(L, "MAX_LEVELS", 6)
+    monkeypatch.setattr(L, "FIRST_CHECK", 1)
     with pytest.raises(RuntimeError):
         L.upstream_closure(nodes, cyclic, "mart")
     first = rows(L.upstream_closure(nodes, cyclic, "mart", dedupe="first"), "name", "depth")
@@ -55,6 +55,13 @@ def test_cycles(spark, graph, monkeypatch):
     assert ("mart", 2) in bounded and max(d for _, d in bounded) == 3
 
 
+def test_a_chain_through_all_models_is_no_cycle(spark, monkeypatch):
+    monkeypatch.setattr(L, "FIRST_CHECK", 1)
+    nodes = spark.createDataFrame([(k, f"m{k}", "model") for k in range(7)], "node_id int, model_name string, resource_type string")
+    edges = spark.createDataFrame([(k + 1, k) for k in range(6)], "downstream_id int, upstream_id int")
+    assert rows(L.upstream_closure(nodes, edges, "m6"), "depth") == [(k,) for k in range(7)]
+
+
 def test_column_lineage(graph):
     nodes, edges = graph
     assert rows(L.column_lineage(nodes, edges, "mart", "RAW_COL"), "name", "in_select", "depth") == [("raw", True, 1), ("raw", True, 2), ("raw", True, 2)]
