@@ -26,7 +26,9 @@ def test_query_matches_sql(spark, con, name):
 
 def test_every_query_has_sql():
     assert set(all_queries()) == set(all_oracles())
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    # corpus queries, where installed, may have none: those are tested against brute force
+    assert all_queries().keys() <= entry.queries().keys()
+    assert entry.queries().keys() - entry.oracle_sql().keys() <= entry.CORPUS_QUERIES.keys()
 
 
 def test_entry(spark):
