@@ -93,7 +93,7 @@ def _archived_before(t: Inputs) -> DataFrame:
     held AS (SELECT DISTINCT file_type, file_name FROM known WHERE contains(file_name, 'src0') AND file_type = 'loa'),
     ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY file_type, file_name ORDER BY doc_id) AS rn FROM known)
     SELECT file_name AS original_filename, CASE WHEN rn > 1 OR EXISTS (SELECT 1 FROM held h WHERE h.file_type = r.file_type AND h.file_name = r.file_name)
-      THEN '20250312_070500_' || file_name ELSE file_name END AS archived_filename, file_type, '2025-03-12T07:05:00' AS archived_timestamp, 'ingest' AS archived_by
+      THEN '20250312_070500_' || substr(sha256(file_type || '|' || doc_id), 1, 16) || '_' || file_name ELSE file_name END AS archived_filename, file_type, '2025-03-12T07:05:00' AS archived_timestamp, 'ingest' AS archived_by
     FROM ranked r""",
 )
 def _(t: Inputs):
@@ -236,15 +236,9 @@ def _(t: Inputs):
 
 # ---------------------------------------------------------------- streaming
 
-_LEAVE_SCHEMA = (
-    "Worker STRING, `Effective Date` STRING, `First Day of Leave` STRING, "
-    "`Last Day of Leave - Estimated` STRING, `Last Day of Leave - Actual` STRING"
-)
-
-
 @query("ingest_stream", _LEAVE_DROP_SQL.replace("employee_id AS", "CAST(employee_id AS VARCHAR) AS", 1))
 def _(t: Inputs):
-    """Drops arrive in two deliveries; the second run of the stream takes only the new files."""
+    """Drops arrive in two deliveries, the second with its columns in reverse; its run takes only the new files."""
     place = scratch_dir(t.spark, "ingest-stream")
     whole = _leave_drop(t)
     early = F.col("Effective Date") < F.lit("1998-01-01").cast("date")
@@ -252,19 +246,19 @@ def _(t: Inputs):
         ("Leave of Absence 19980101", whole.filter(early)),
         ("Leave of Absence 20010801", whole.filter(~early)),
     ):
-        rows.write.option("header", "true").csv(f"{place}/drops/{folder}")
+        columns = rows.columns if folder.endswith("0101") else rows.columns[::-1]
+        rows.select(*columns).write.option("header", "true").csv(f"{place}/drops/{folder}")
         stream = ingest.ingest_stream(
             t.spark,
             f"{place}/drops",
             drops.LEAVE,
             f"{place}/table",
             f"{place}/checkpoint",
-            _LEAVE_SCHEMA,
             {"Worker": "Employee ID"},
             1741766400,
         )
         stream.awaitTermination()
-    return t.spark.read.parquet(f"{place}/table")
+    return ingest.ingested_table(t.spark, f"{place}/table")
 
 
 @query(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline.functions.columns import col, zero_if_null
+from plumbline.session import cut_lineage
 
 # File types with their name patterns, suffixes, date pattern, required and default columns.
 LEAVE, TIME_OFF = "loa", "to"
@@ -21,6 +23,9 @@ TIME_OFF_DEFAULTS = {"Status": "Approved", "Unit of Time": "Hours"}
 BLANKED_PARTS = ["Date", "Day"]
 TIMESTAMP = "timestamp_unix"
 
+NUMBER_DIGITS = 16  # hexadecimal digits of the number in front of an archive name
+NUMBERED_NAME = rf"^\d{{8}}_\d{{6}}_([0-9a-f]{{{NUMBER_DIGITS}}})[._]"
+
 
 def file_type(name: Column) -> Column:
     """``loa``, ``to`` or NULL by the lower-cased file name; the first pattern wins."""
@@ -85,11 +90,77 @@ def read_widened(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def read_drops(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """CSV drops below a folder with the name of the drop (its folder or file) in ``file_name``."""
-    reader = spark.read.option("header", "true").option("recursiveFileLookup", "true")
-    reader = reader.schema(schema) if schema else reader
-    return reader.csv(path).withColumn("file_name", drop_name())
+def _csv_files(paths: str | Sequence[str]) -> list[str]:
+    """Paths for a reader; those of a list are file names, in which pattern characters mean themselves."""
+    return [paths] if isinstance(paths, str) else [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+
+
+def headings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The column names of every CSV file: ``file_path, headings``, as long as the widest, filled with ''.
+
+    Files without any line are left out.
+
+    The heading is the first line of the first block of its file. Rows of one block stay in order
+    within their task, so the least running number finds it without a sort.
+    """
+    lines = (
+        spark.read.option("recursiveFileLookup", "true")
+        .text(_csv_files(paths))
+        .select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("number"),
+            "value",
+        )
+        .filter(F.col("start") == 0)
+    )
+    first = lines.groupBy("file_path").agg(F.min_by("value", "number").alias("line"))
+    first = cut_lineage(first.withColumn("line", F.regexp_replace("line", "^\ufeff|\\r$", "")))
+    widest = first.agg(F.max(F.size(F.split("line", ",")))).first()[0] or 1
+    cells = F.from_csv("line", F.lit(_positions(widest)))
+    return first.select("file_path", F.array(*[F.coalesce(cells[f"c{i}"], F.lit("")) for i in range(widest)]).alias("headings"))
+
+
+def _positions(width: int) -> str:
+    return ", ".join(f"c{i} string" for i in range(width))
+
+
+def lacking(found: DataFrame, kind: str, mapping: Mapping[str, str] | None = None) -> DataFrame:
+    """Files of :func:`headings` without all columns that their type requires, with ``lacking``."""
+    called = {want: [want, *[raw for raw, to in (mapping or {}).items() if to == want]] for want in REQUIRED[kind]}
+    absent = F.array_compact(
+        F.array(
+            *[
+                F.when(~F.arrays_overlap(F.col("headings"), F.array(*[F.lit(r) for r in raws])), F.lit(want))
+                for want, raws in called.items()
+            ]
+        )
+    )
+    return found.withColumn("lacking", absent).filter(F.size("lacking") > 0)
+
+
+def read_drops(spark: SparkSession, paths: str | Sequence[str], found: DataFrame | None = None) -> DataFrame:
+    """CSV drops below a folder, or given files, by heading: texts, with the name of the drop in ``file_name``.
+
+    Every file is read under its own heading, in whatever order its columns stand; a column that
+    only some files have is NULL in the others. Rows are read once, by position; the names of
+    their file say which cell is which, and the first of two equal names counts. ``found``
+    restricts the result to files of :func:`headings`. Without any heading there are no columns but ``file_name``.
+    """
+    found = headings(spark, paths) if found is None else found
+    first_seen = found.select("file_path", F.posexplode("headings").alias("place", "name"))
+    ordered = first_seen.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name")
+    names = [r["name"] for r in ordered.collect() if r["name"]]
+    width = found.agg(F.max(F.size("headings"))).first()[0] or 1
+    reader = spark.read.option("header", "true").option("enforceSchema", "true").option("recursiveFileLookup", "true")
+    rows = reader.schema(_positions(width)).csv(_csv_files(paths)).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        drop_name().alias("file_name"),
+        F.array(*[F.col(f"c{i}") for i in range(width)]).alias("cells"),
+    )
+    # array_position is 0 for an absent name, and get gives NULL at -1
+    cells = [F.get("cells", (F.array_position("headings", F.lit(n)) - 1).cast("int")).alias(n) for n in names]
+    return rows.join(found.select("file_path", "headings"), "file_path").select(*cells, "file_name")
 
 
 def drop_name() -> Column:
@@ -110,22 +181,33 @@ def ingest_manifest(
     name: str = "file_name",
     order: str = "file_path",
 ) -> DataFrame:
-    """Archive records of classified files; a name already taken gets a timestamp in front.
+    """Archive records of classified files; a name already taken gets a timestamp and a number in front.
 
-    A name is taken by an existing record of the same type or by an earlier file (by
-    ``order``) of this batch.
+    A name is taken by an existing record of the same type or by an earlier file (by ``order``,
+    which tells the files of a batch apart) of this batch. The number is the beginning of the
+    SHA-256 of type and ``order``, so no task has to count the files of one name; a file archived before
+    under that number also carries how often. Archive names are distinct per type.
     """
     stamp = F.current_timestamp() if archived_at is None else F.lit(archived_at).cast("timestamp_ntz")
     named = files.select(F.col("file_type"), col(name).alias("original_filename"), col(order).alias("__order"))
+    number = F.substring(F.sha2(F.concat_ws("|", "file_type", F.col("__order").cast("string")), 256), 1, NUMBER_DIGITS)
+    named = named.withColumn("__number", number)
     holder = named.groupBy("file_type", "original_filename").agg(F.min("__order").alias("__first"))
+    before = F.lit(0)
     if existing is None:
         holder = holder.withColumn("__taken", F.lit(False))
     else:
         taken = existing.select("file_type", F.col("archived_filename").alias("original_filename")).distinct()
         holder = holder.join(taken.withColumn("__held", F.lit(True)), ["file_type", "original_filename"], "left")
         holder = holder.withColumn("__taken", F.col("__held").isNotNull())
+        numbered = existing.select("file_type", F.regexp_extract("archived_filename", NUMBERED_NAME, 1).alias("__number"))
+        numbered = numbered.filter("__number <> ''").groupBy("file_type", "__number").agg(F.count(F.lit(1)).alias("__before"))
+        named = named.join(numbered, ["file_type", "__number"], "left")
+        before = zero_if_null(F.col("__before"))
     clash = F.col("__taken") | (F.col("__order") != F.col("__first"))
-    prefixed = F.concat(F.date_format(stamp, "yyyyMMdd_HHmmss"), F.lit("_"), F.col("original_filename"))
+    again = F.when(before > 0, F.concat(F.lit("."), before.cast("string"))).otherwise(F.lit(""))
+    prefix = [F.date_format(stamp, "yyyyMMdd_HHmmss"), F.lit("_"), F.col("__number"), again, F.lit("_")]
+    prefixed = F.concat(*prefix, F.col("original_filename"))
     return named.join(holder, ["file_type", "original_filename"], "inner").select(
         "original_filename",
         F.when(clash, prefixed).otherwise(F.col("original_filename")).alias("archived_filename"),

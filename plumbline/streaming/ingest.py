@@ -9,21 +9,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from plumbline.operators.leave import latest_rows, newer_than
-from plumbline.sources.drops import LEAVE, drop_name, file_type, normalize_loa, normalize_time_off
-
+from plumbline.sources.drops import (
+    LEAVE,
+    drop_name,
+    file_type,
+    headings,
+    lacking,
+    normalize_loa,
+    normalize_time_off,
+    read_drops,
+    read_widened,
+)
+
+FILES = "path string, modificationTime timestamp, length bigint, content binary"  # fixed by Spark
 BATCH = "batch_id"
+REFUSED = "_refused"  # readers of the table pass over folders that begin so
 
 
-def drop_stream(spark: SparkSession, drops: str, schema: str) -> DataFrame:
-    """CSV drops below a folder as a stream, each file once, with name and type."""
-    return (
-        spark.readStream.schema(schema)
-        .option("header", "true")
-        .option("recursiveFileLookup", "true")
-        .csv(drops)
-        .withColumn("file_name", drop_name())
-        .withColumn("file_type", file_type(F.col("file_name")))
-    )
+def drop_stream(spark: SparkSession, drops: str) -> DataFrame:
+    """Files below a folder as a stream, each once: ``path, file_type``; their content is not read."""
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", "true")
+    return reader.load(drops).select("path", file_type(drop_name()).alias("file_type"))
 
 
 def ingest_stream(
@@ -32,25 +38,43 @@ def ingest_stream(
     kind: str,
     table: str,
     checkpoint: str,
-    schema: str,
     mapping: Mapping[str, str] | None = None,
     now: object = None,
 ) -> StreamingQuery:
-    """Append all new drops of one kind, normalised, to a Parquet table; ends when none is left.
+    """Append all new drops of one kind, read by heading and normalised; ends when none is left.
 
-    The checkpoint and the file sink record which files are done, so a restarted query appends
-    each file exactly once.
+    The stream carries file names. Every micro-batch reads its files as :func:`read_drops` does and
+    becomes one partition of ``table``, which a repeated batch overwrites, so a restarted
+    query appends each file exactly once. A file that lacks a required column is refused as a whole and
+    listed by :func:`refused_files`; the others go on. Read the table with :func:`ingested_table`.
     """
-    rows = drop_stream(spark, drops, schema).filter(F.col("file_type") == kind).drop("file_name", "file_type")
     normalize = normalize_loa if kind == LEAVE else normalize_time_off
-    return (
-        normalize(rows, mapping, now)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(table)
-    )
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        files = [r["path"] for r in batch.filter(F.col("file_type") == kind).select("path").distinct().collect()]
+        if not files:
+            return
+        session = batch.sparkSession
+        found = headings(session, files)
+        refused = lacking(found, kind, mapping)
+        refused.select("file_path", "lacking").write.mode("overwrite").parquet(f"{table}/{REFUSED}/{BATCH}={batch_id}")
+        taken = found.join(refused.select("file_path"), "file_path", "left_anti")
+        if not taken.isEmpty():
+            rows = normalize(read_drops(session, files, taken).drop("file_name"), mapping, now)
+            rows.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
+
+    stream = drop_stream(spark, drops).writeStream.option("checkpointLocation", checkpoint)
+    return stream.trigger(availableNow=True).foreachBatch(apply).start()
+
+
+def ingested_table(spark: SparkSession, table: str) -> DataFrame:
+    """All rows ingested so far, under the columns of all batches."""
+    return read_widened(spark, table).drop(BATCH)
+
+
+def refused_files(spark: SparkSession, table: str) -> DataFrame:
+    """Files that were refused: ``file_path, lacking, batch_id``."""
+    return spark.read.parquet(f"{table}/{REFUSED}")
 
 
 def _read_log(spark: SparkSession, log: str) -> DataFrame | None:

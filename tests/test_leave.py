@@ -70,7 +70,39 @@ def test_manifest(spark):
     files = spark.createDataFrame([("loa", "a.xlsx", 1), ("loa", "a.xlsx", 2), ("to", "a.xlsx", 3), ("loa", "b.xlsx", 4)], "file_type string, file_name string, file_path int")
     held = spark.createDataFrame([("loa", "b.xlsx")], "file_type string, archived_filename string")
     got = rows(S.ingest_manifest(files, held, "2025-03-12 07:05:00"), "file_type", "archived_filename")
-    assert got == [("loa", "20250312_070500_a.xlsx"), ("loa", "20250312_070500_b.xlsx"), ("loa", "a.xlsx"), ("to", "a.xlsx")]
+    names = [name.replace("20250312_070500_", "+") for _, name in got]
+    assert [n[:1] + n[-7:] if n[0] == "+" else n for n in names] == ["+_b.xlsx", "+_a.xlsx", "a.xlsx", "a.xlsx"]
+    # three files of one name, all names taken by a run of the same second before
+    more = spark.createDataFrame([("loa", "a.xlsx", i) for i in (1, 2, 5)], files.schema)
+    first = S.ingest_manifest(more, held, "2025-03-12 07:05:00")
+    second = S.ingest_manifest(more, first.union(first.limit(0)), "2025-03-12 07:05:00")
+    third = S.ingest_manifest(more, first.union(second), "2025-03-12 07:05:00")
+    kept = [r["archived_filename"] for r in first.union(second).union(third).collect()]
+    assert len(kept) == 9 == len(set(kept))
+
+
+def test_drops_are_read_by_heading(spark, tmp_path):
+    folder = tmp_path / "drops"
+    folder.mkdir()
+    (folder / "time off [1].csv").write_text("Employee ID,Time Off Date,Duration\n1,2024-06-01,8\n")
+    (folder / "time off 2.csv").write_text('Time Off Date,"Extra, more",,Duration,Employee ID\r\n2024-06-02,x,gap,4,2\r\n')
+    (folder / "time off 3.csv").write_text("Employee ID,Duration\n3,8\n")
+    (folder / "time off 4.csv").write_text("")
+    names = ["Employee ID", "Time Off Date", "Duration", "Extra, more"]
+    got = S.read_drops(spark, str(folder))
+    assert sorted(got.columns) == sorted([*names, "file_name"])
+    want = [("1", "2024-06-01", "8", None), ("2", "2024-06-02", "4", "x"), ("3", None, "8", None)]
+    assert rows(got, *[f"`{n}`" for n in names]) == want
+    place = str(tmp_path / "table")
+
+    def run():
+        T.ingest_stream(spark, str(folder), "to", place, str(tmp_path / "cp"), now=5).awaitTermination()
+        return rows(T.ingested_table(spark, place), *[f"`{n}`" for n in names])
+
+    assert run() == want[:2] == run()
+    assert [r["lacking"] for r in T.refused_files(spark, place).collect()] == [["Time Off Date"]]
+    (folder / "time off 5.csv").write_text("Worker,Duration,Time Off Date,Note\n")
+    assert S.lacking(S.headings(spark, str(folder)), "to", {"Worker": "Employee ID"}).count() == 1
 
 
 def test_summary(spark):
@@ -169,15 +201,15 @@ def test_ingest_stream_is_exactly_once(spark, tmp_path):
         spark.createDataFrame(items, schema).write.option("header", "true").csv(str(tmp_path / "drops" / folder))
 
     def run():
-        T.ingest_stream(spark, str(tmp_path / "drops"), "to", str(tmp_path / "table"), str(tmp_path / "cp"), schema, None, 5).awaitTermination()
-        return rows(spark.read.parquet(str(tmp_path / "table")), "Employee ID", "Status", "timestamp_unix")
+        T.ingest_stream(spark, str(tmp_path / "drops"), "to", str(tmp_path / "table"), str(tmp_path / "cp"), None, 5).awaitTermination()
+        return rows(T.ingested_table(spark, str(tmp_path / "table")), "Employee ID", "Status", "timestamp_unix")
 
     deliver("Time Off 20240101", (1, "2024-01-01", "8"))
     deliver("Leave of Absence 20240101", (9, "2024-01-01", "8"))
-    assert run() == [(1, "Approved", 5)]
-    assert run() == [(1, "Approved", 5)]
+    assert run() == [("1", "Approved", 5)]
+    assert run() == [("1", "Approved", 5)]
     deliver("Time  off 20240102", (2, "2024-01-02", "8"))
-    assert run() == [(1, "Approved", 5), (2, "Approved", 5)]
+    assert run() == [("1", "Approved", 5), ("2", "Approved", 5)]
 
 
 @pytest.mark.parametrize(("late", "expected"), [("drop", [(1, "newest"), (2, "old")]), ("upsert", [(1, "newest"), (2, "old"), (3, "late")])])
