@@ -46,8 +46,8 @@ def dtype_of(df: DataFrame, name: str) -> T.DataType:
 def compact(value: Column) -> Column:
     """A text that equals another exactly if the originals do, short enough to shuffle.
 
-    A long text becomes its beginning, a mark and its SHA-256, which sorts like the original up
-    to that beginning. The result is longer than any text left as it is, so the two kinds
+    A long text becomes its beginning, a mark and its SHA-256. Two of these sort like their originals
+    unless both are long and begin alike. The result is longer than any text left as it is, so the two kinds
     never meet.
     """
     digest = F.concat(F.substring(value, 1, LONG_TEXT), F.lit(DIGEST_MARK), F.sha2(value, 256))

@@ -4,7 +4,7 @@ Distinct counts, null counts, most frequent values and repeated values of any nu
 columns are all read off one ledger. Values travel in their native width (integers, dates
 and booleans as bigint, floats as double, the rest as text, long texts as SHA-256) and are
 counted inside the map tasks first, so neither a frequent value nor a wide table
-concentrates rows in one task. The few long texts a report shows are looked up again.
+concentrates rows in one task. Digests only count: long texts that a report ranks or shows are read again.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from plumbline.functions.columns import STRING, col, compact, dtype_of, family, is_digest, name_column
+from plumbline.functions.columns import LONG_TEXT, col, compact, dtype_of, is_digest, name_column
 
 COLUMN = "__column"
 V_INT, V_FLOAT, V_TEXT = "__v_int", "__v_float", "__v_text"
@@ -120,28 +120,44 @@ def restore_texts(df: DataFrame, columns: Sequence[str], shown: DataFrame) -> Da
     )
 
 
-def frequent_texts(df: DataFrame, columns: Sequence[str], ledger: DataFrame, k: int) -> DataFrame:
-    """``value (count)`` of the k most frequent texts per column of a text ledger without NULLs.
+def most_frequent(df: DataFrame, columns: Sequence[str], ledger: DataFrame, k: int, *carried: Column) -> DataFrame:
+    """The k most frequent texts per column and carried columns, ties by the text itself: whole text, count, ``__rank``.
 
-    The ranking filter is applied inside every task before the shuffle (window group limit),
-    so at most k rows per task and column are moved.
+    ``ledger`` is a text ledger without NULLs of ``df`` with the same ``carried``. Its order is right but for long
+    texts that begin alike, so the long texts that begin as one of the first k are read again and
+    ranked by their whole. Ranking filters run inside every task before the shuffle (window group limit).
     """
-    ranking = Window.partitionBy(COLUMN).orderBy(F.col(COUNT).desc(), F.col(V_TEXT))
-    best = (
-        ledger.withColumn("__rank", F.row_number().over(ranking))
-        .filter(F.col("__rank") <= k)
-        .select(COLUMN, V_TEXT, COUNT, "__rank")
+    by = [c for c in ledger.columns if c not in (COLUMN, *VALUE, COUNT)]
+
+    def first(rows: DataFrame) -> DataFrame:
+        order = Window.partitionBy(*by, COLUMN).orderBy(F.col(COUNT).desc(), F.col(V_TEXT))
+        return rows.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= k)
+
+    kept = [*by, COLUMN, V_TEXT, COUNT]
+    best = first(ledger.select(*kept))
+    beginning = F.substring(V_TEXT, 1, LONG_TEXT)
+    # at most k rows per column and group
+    wanted = best.filter(is_digest(F.col(V_TEXT))).select(*by, COLUMN, beginning.alias("__beginning"))
+    wanted = wanted.distinct().withColumnsRenamed({c: f"__w{c}" for c in (*by, COLUMN)})
+    same = [F.col(c).eqNullSafe(F.col(f"__w{c}")) for c in (*by, COLUMN)] + [beginning == F.col("__beginning")]
+    cells = [c for i, name in enumerate(columns) for c in (F.lit(i), _whole_text(name, dtype_of(df, name)))]
+    texts = df.select(*carried, F.stack(F.lit(len(columns)), *cells).alias(COLUMN, V_TEXT)).filter(is_digest(F.col(V_TEXT)))
+    long = (
+        texts.join(F.broadcast(wanted) if not by else wanted, same, "left_semi")
+        .groupBy(*by, COLUMN, compact(F.col(V_TEXT)).alias("__digest"))
+        .agg(F.any_value(V_TEXT).alias(V_TEXT), F.count(F.lit(1)).alias(COUNT))
     )
-    best = restore_texts(df, columns, best)
+    return first(best.filter(~is_digest(F.col(V_TEXT))).select(*kept).unionByName(long.select(*kept)))
+
+
+def frequent_texts(df: DataFrame, columns: Sequence[str], ledger: DataFrame, k: int) -> DataFrame:
+    """``value (count)`` of the k most frequent texts per column of a text ledger without NULLs."""
+    best = most_frequent(df, columns, ledger, k)
     shown = F.concat(F.col(V_TEXT), F.lit(" ("), F.col(COUNT).cast("string"), F.lit(")"))
     ordered = F.array_sort(F.collect_list(F.struct("__rank", shown.alias("shown"))))
     return best.groupBy(COLUMN).agg(F.array_join(F.transform(ordered, lambda e: e["shown"]), ", ").alias("top"))
 
 
-def text_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    return [c for c in columns if family(dtype_of(df, c)) == STRING]
-
-
 def named(ledger_like: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace the column position by the column name."""
     return ledger_like.withColumn("column_name", name_column(columns, F.col(COLUMN))).drop(COLUMN)

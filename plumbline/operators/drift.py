@@ -74,13 +74,9 @@ def detect_drift(
     wide = inside.agg(*aggregates)
     if texts:
         ledger = V.value_ledger(inside, texts, is_recent.alias("__recent"), nulls=False)
-        per_window = ledger.groupBy("__recent", V.COLUMN).agg(
-            F.count(F.lit(1)).alias("distinct"),
-            F.min(F.struct((-F.col(V.COUNT)).alias("n"), F.col(V.V_TEXT).alias("v"))).alias("top"),
-        )
-        per_window = V.restore_texts(
-            inside, texts, per_window.select("__recent", V.COLUMN, "distinct", F.col("top.v").alias(V.V_TEXT))
-        )
+        distincts = ledger.groupBy("__recent", V.COLUMN).agg(F.count(F.lit(1)).alias("distinct"))
+        tops = V.most_frequent(inside, texts, ledger, 1, is_recent).drop(V.COUNT, "__rank")
+        per_window = distincts.join(tops, ["__recent", V.COLUMN])
         cells = []
         for i in range(len(texts)):
             for s, side in sides.items():

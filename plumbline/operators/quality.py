@@ -124,13 +124,14 @@ def suggest_checks(
             .filter((F.col("rank") <= MAX_ACCEPTED_VALUES + 2) & V.has_value() & (F.col(V.COUNT) > 0))
             .select(V.COLUMN, *V.VALUE, "rank")
         )
-        in_rank = F.array_sort(F.collect_list(F.struct("rank", V.shown_value(df, columns).alias("text"))))
+        # by value: the rank of long texts that begin alike goes by their digests
+        in_order = F.array_sort(F.collect_list(F.struct(*V.VALUE, V.shown_value(df, columns).alias("text"))))
         lists = (
             V.restore_texts(df, columns, few)
             .groupBy(V.COLUMN)
             .agg(
                 F.max("rank").alias("found"),
-                F.array_join(F.transform(in_rank, lambda e: e["text"]), ", ").alias("list"),
+                F.array_join(F.transform(in_order, lambda e: e["text"]), ", ").alias("list"),
             )
             .filter(F.col("found") <= MAX_ACCEPTED_VALUES)
         )

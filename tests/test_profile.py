@@ -95,6 +95,20 @@ def test_value_ledger_types(spark):
     assert totals == {"i": (2, 2, 1), "f": (2, 2, 1), "s": (2, 1, 1), "b": (2, 2, 2), "d": (2, 1, 1)}
 
 
+def test_tied_long_texts_rank_by_value(spark):
+    start = "same beginning " * 10
+    items = [(start + e, i % 2) for i in range(2) for e in "hgfedcba"] + [("z" * 64, 0), (start[:64], 0), (None, 0), ("", 1)]
+    df = spark.createDataFrame(items, "s string, w int").repartition(5)
+    metrics = {r["metric"]: r["metric_value"] for r in P.profile_dataset(df).collect() if r["column_name"] == "s"}
+    assert metrics["top_5_values"] == ", ".join(f"{start}{e} (2)" for e in "abcde")
+    assert metrics["distinct_values"] == "11"
+    ledger = V.value_ledger(df, ["s"], F.col("w"), nulls=False)
+    best = V.most_frequent(df, ["s"], ledger, 2, F.col("w")).collect()
+    assert sorted((r["w"], r["__rank"], r[V.V_TEXT]) for r in best) == [
+        (0, 1, start[:64]), (0, 2, start + "a"), (1, 1, ""), (1, 2, start + "a")
+    ]
+
+
 def test_profile_columns_subset_of_families(spark):
     got = one(P.profile_columns(spark.createDataFrame([("ab",), (None,)], "s string"), ["s:varchar"]))
     assert (got["min_length"], got["distinct_values"], got["min_value"], got["null_percentage"]) == (2, 1, None, 50.0)
