@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from plumbline.functions import values as V
-from plumbline.functions.columns import any_null, as_list, col, ratio
+from plumbline.functions.columns import any_null, as_list, col, comparable_cell, ratio, zero_if_null
 from plumbline.functions.tally import on_side, side_counts, side_tally, total
 
 # Name parts that mark a key column, and the status texts.
@@ -188,3 +189,41 @@ def infer_keys(sources: Mapping[str, DataFrame], target: DataFrame) -> DataFrame
         share.alias("distinct_ratio"),
         (F.col("name_matches") & (F.col("distinct") == F.col("rows"))).alias("is_key"),
     )
+
+
+def confirm_keys(sources: Mapping[str, DataFrame], target: DataFrame, target_name: str = "target") -> DataFrame:
+    """Candidate keys measured on every source and the target: single common columns and pairs of those named like keys.
+
+    A candidate is a key of a relation if its values are distinct and never NULL there, and confirmed
+    if it is so in all relations. Without a column named like a key, pairs of all common columns are measured.
+    An empty relation confirms every candidate.
+    """
+    common = common_columns(sources, target)
+    paired = [c for c in common if named_like_key(c)] or common
+    candidates = [(c,) for c in common] + list(combinations(paired, 2))
+    names = [", ".join(c) for c in candidates]
+    measured = []
+    for name, df in [*sources.items(), (target_name, target)]:
+        single = {n: col(c[0]) for n, c in zip(names, candidates) if len(c) == 1}
+        # a NULL part makes the pair NULL; the length tells where the first part ends
+        pairs = {}
+        for n, c in zip(names, candidates):
+            if len(c) == 2:
+                first, second = (comparable_cell(df, part).cast("string") for part in c)
+                pairs[n] = F.concat(F.length(first).cast("string"), F.lit(":"), first, second)
+        cells = df.select(*[value.alias(n) for n, value in {**single, **pairs}.items()])
+        rows = df.agg(F.count(F.lit(1)).alias("row_count"))
+        totals = V.named(V.ledger_totals(V.value_ledger(cells, names, nulls=False)), names)
+        listed = rows.select("row_count", F.explode(F.array(*[F.lit(n) for n in names])).alias("column_name"))
+        found = listed.join(totals.select("column_name", "non_null", "distinct"), "column_name", "left")
+        measured.append(found.withColumn("relation_name", F.lit(name)))
+    every = Window.partitionBy("column_name")  # one row per relation
+    is_key = zero_if_null(F.col("distinct")) == F.col("row_count")
+    return reduce(DataFrame.unionByName, measured).select(
+        "relation_name",
+        F.col("column_name").alias("key_columns"),
+        "row_count",
+        zero_if_null(F.col("distinct")).alias("distinct_count"),
+        is_key.alias("is_key"),
+        F.bool_and(is_key).over(every).alias("confirmed"),
+    )

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.functions.columns import any_null, as_list, col
 
+TIMESTAMP = "timestamp_unix"
+
 # Raw headings, staged types, window bounds and constants of the leave branch.
 TIME_OFF_HEADINGS = {
     "Employee ID": "employee_id",
@@ -176,26 +178,38 @@ def stage_employee(employees: DataFrame) -> DataFrame:
     return employees.select("employee_id", F.col("preferred_name").alias("employee_name"))
 
 
-def _dimension(staged: DataFrame, employees: DataFrame) -> DataFrame:
+def _dimension(staged: DataFrame, employees: DataFrame, keys: Sequence[str], history: bool) -> DataFrame:
     rest = [c for c in staged.columns if c != "employee_id"]
+    valid_to = F.lit(None).cast("timestamp_ntz")
+    if history:
+        # rows without a key follow no other; each has a number of its own
+        staged = staged.withColumn("__own", F.when(any_null(keys), F.monotonically_increasing_id()))
+        order = [col(c) for c in ("loaded_at", TIMESTAMP, *[c for c in rest if c not in (*keys, "loaded_at", TIMESTAMP)])]
+        versions = Window.partitionBy(*[col(k) for k in keys], "__own").orderBy(*order)
+        staged = staged.withColumn("__valid_to", F.lead("loaded_at").over(versions))
+        valid_to = F.col("__valid_to")
     return staged.join(employees, "employee_id", "left").select(
         "employee_id",
         "employee_name",
         *[col(c) for c in rest],
         F.col("loaded_at").alias("valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-        F.lit(True).alias("is_current"),
+        valid_to.alias("valid_to"),
+        valid_to.isNull().alias("is_current"),
     )
 
 
-def dim_time_off(staged: DataFrame, employees: DataFrame) -> DataFrame:
-    """Time off with employee name and validity columns, one current row per key."""
-    return _dimension(staged, employees)
+def dim_time_off(staged: DataFrame, employees: DataFrame, history: bool = False) -> DataFrame:
+    """Time off with employee name and validity columns, one current row per key.
+
+    With ``history``, ``staged`` holds the rows of several loads and every row stays, valid until the
+    key's next load; the last is current.
+    """
+    return _dimension(staged, employees, ["upi"], history)
 
 
-def dim_loa(staged: DataFrame, employees: DataFrame) -> DataFrame:
-    """Leave with employee name and validity columns, one current row per key."""
-    return _dimension(staged, employees)
+def dim_loa(staged: DataFrame, employees: DataFrame, history: bool = False) -> DataFrame:
+    """Leave with employee name and validity columns, one current row per key; ``history`` as for time off."""
+    return _dimension(staged, employees, ["employee_id", "effective_date"], history)
 
 
 def _request_time() -> Column:

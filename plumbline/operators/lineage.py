@@ -10,13 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from plumbline.functions.columns import as_list
 from plumbline.session import cut_lineage
 
 FIRST_CHECK = 16  # level at which an unbounded walk first compares its depth with the number of models
-LAZY_DEPTH = 4  # bounded walks up to this depth need no intermediate result
 
 # Patterns of a reference in a file, of the select list, and the suffix of model files.
 REFERENCE = r"""(?i)ref\(['"]([^'"]+)['"]\)"""
@@ -59,18 +58,16 @@ def graph_walk(
 
     ``dedupe='depth'`` reports a model once per depth and referrer, ``'paths'`` once per path,
     ``'first'`` only at its smallest depth (which also ends on cyclic graphs). Without
-    ``max_depth`` the walk goes on until nothing new is reached; each level is written to
-    the shared folder, so lost executors do not restart the walk.
+    ``max_depth`` the walk goes on until nothing new is reached. Each level is computed once and written to
+    the shared folder, so lost executors do not restart the walk; the jobs run before the result is returned.
     """
     if dedupe not in ("depth", "paths", "first"):
         raise ValueError("dedupe is 'depth', 'paths' or 'first'")
     steps = _steps(nodes, edges, direction, resource_type)
-    eager = max_depth is None or max_depth > LAZY_DEPTH or dedupe == "first"
     frontier = _start_ids(nodes, start).select(
         "start_id", "node_id", F.lit(None).cast(nodes.schema["node_id"].dataType).alias("via_id"), F.lit(0).alias("depth")
     )
-    if eager:
-        steps, frontier = cut_lineage(steps), cut_lineage(frontier)
+    steps, frontier = cut_lineage(steps), cut_lineage(frontier)
     levels = [frontier]
     reached = frontier.select("start_id", "node_id")
     depth, longest = 0, FIRST_CHECK
@@ -92,12 +89,11 @@ def graph_walk(
             following = following.distinct()
         if dedupe == "first":
             following = following.join(reached, ["start_id", "node_id"], "left_anti").select(*frontier.columns)
-        if eager:
-            following = cut_lineage(following)
-            if following.isEmpty():
-                break
-            if dedupe == "first":
-                reached = reached.union(following.select("start_id", "node_id").distinct())
+        following = cut_lineage(following)
+        if following.isEmpty():
+            break
+        if dedupe == "first":
+            reached = reached.union(following.select("start_id", "node_id").distinct())
         levels.append(following)
         frontier = following
     found = reduce(DataFrame.union, levels)
@@ -155,7 +151,8 @@ def subgraph_edges(
     nodes: DataFrame, edges: DataFrame, start: str | Sequence[str] | DataFrame, max_depth: int = 3
 ) -> DataFrame:
     """Distinct edges, by model name, between models of each start's bounded upstream set."""
-    inside = graph_walk(nodes, edges, start, "upstream", max_depth).select("start_name", "unique_id", "name").distinct()
+    walked = graph_walk(nodes, edges, start, "upstream", max_depth)
+    inside = cut_lineage(walked.select("start_name", "unique_id", "name").distinct())
     sources = inside.select("start_name", F.col("unique_id").alias("upstream_id"), F.col("name").alias("source_name"))
     targets = inside.select("start_name", F.col("unique_id").alias("downstream_id"), F.col("name").alias("target_name"))
     return (
@@ -181,8 +178,9 @@ def downstream_impact(
 def impact_by_level(impact: DataFrame) -> DataFrame:
     """Affected models per start and level, with the total of the start."""
     levels = impact.groupBy("start_name", "depth").agg(F.count(F.lit(1)).alias("models"))
-    totals = levels.groupBy("start_name").agg(F.sum("models").alias("total_models"))
-    return levels.join(totals, "start_name", "inner").select("start_name", "depth", "models", "total_models")
+    # a start has no more rows here than levels
+    total = F.sum("models").over(Window.partitionBy("start_name"))
+    return levels.select("start_name", "depth", "models", total.alias("total_models"))
 
 
 def immediate_children(

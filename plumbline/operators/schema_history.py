@@ -123,6 +123,19 @@ def schema_snapshot(
     return hashed.select(*by, taken.alias("snapshot_date"), "row_count", "column_count", "hash_value")
 
 
+def content_hash(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row ``(row_count, content_hash)`` that tells the content of a table, whatever the order of its rows.
+
+    The hash is the sum of 60 bits of the MD5 of every row, so repeated rows do not cancel. A cell counts as its text
+    with its length in front, a NULL as ``n``; an empty table has hash 0. Map columns are not supported.
+    """
+    cells = [col(c).cast("string") for c in (columns or df.columns)]
+    texts = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("n")) for c in cells]
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 15), 16, 10).cast("decimal(38,0)")
+    total = F.coalesce(F.sum(bits), F.lit(0).cast("decimal(38,0)"))
+    return df.agg(F.count(F.lit(1)).alias("row_count"), total.cast("string").alias("content_hash"))
+
+
 def schema_change_log(history: DataFrame, order: str = "snapshot_date") -> DataFrame:
     """Snapshots whose hash differs from the model's previous one."""
     in_time = Window.partitionBy("model_name").orderBy(order)

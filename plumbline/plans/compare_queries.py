@@ -332,3 +332,22 @@ _COMMON = {"o_orderkey": True, "o_custkey": True, "o_orderstatus": False, "o_tot
 )
 def _(t: Inputs):
     return consolidate.infer_keys(_sources(t), t.cons_target)
+
+
+def _measured(relation: str, names: tuple[str, ...]) -> str:
+    # a row of DuckDB is not NULL when its fields are, so rows with a NULL part are left out
+    whole = " AND ".join(f"{n} IS NOT NULL" for n in names)
+    return f"""SELECT '{relation.removeprefix("cons_")}' AS relation_name, '{", ".join(names)}' AS key_columns, COUNT(*) AS row_count,
+      COUNT(DISTINCT ({", ".join(names)},)) FILTER (WHERE {whole}) AS distinct_count FROM {{{relation}}}"""
+
+
+@query(
+    "confirm_keys",
+    "SELECT *, distinct_count = row_count AS is_key, BOOL_AND(distinct_count = row_count) OVER (PARTITION BY key_columns) AS confirmed FROM ("
+    + " UNION ALL ".join(
+        _measured(r, names) for r in (*_NAMES, "cons_target") for names in [*[(c,) for c in _COMMON], ("o_orderkey", "o_custkey")]
+    )
+    + ")",
+)
+def _(t: Inputs):
+    return consolidate.confirm_keys(_sources(t), t.cons_target)

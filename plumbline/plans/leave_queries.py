@@ -201,6 +201,29 @@ def _(t: Inputs):
     return leave.dim_loa(_staged_loa(t), leave.stage_employee(t.employee))
 
 
+_TWICE = (
+    f"WITH raw AS ({_RAW_TO}), early AS (SELECT * REPLACE (TIMESTAMP '2024-03-09 06:00:00' AS loaded_at) FROM raw WHERE time_off_date < DATE '2024-01-20'), "
+    + _latest("early", "upi", _TO_REST, "first_load")
+    + ", "
+    + _latest("raw", "upi", _TO_REST, "second_load")
+    + ", loads AS (SELECT * FROM first_load UNION ALL SELECT * FROM second_load)"
+)
+
+
+@query(
+    "dim_time_off_history",
+    _TWICE
+    + """ SELECT * , valid_to IS NULL AS is_current FROM (SELECT s.*, e.preferred_name AS employee_name, s.loaded_at AS valid_from,
+      LEAD(s.loaded_at) OVER (PARTITION BY s.upi ORDER BY s.loaded_at) AS valid_to
+    FROM loads s LEFT JOIN {employee} e ON e.employee_id = s.employee_id)""",
+)
+def _(t: Inputs):
+    """Two loads, the second of which repeats the days of the first."""
+    early = leave.typed_time_off(t.raw_time_off.filter("time_off_date < '2024-01-20'"), "2024-03-09 06:00:00")
+    loads = leave.latest_rows(early, "upi").unionByName(_staged_time_off(t))
+    return _as_double(leave.dim_time_off(loads, leave.stage_employee(t.employee), history=True))
+
+
 _DAYS = """SELECT s.employee_id, e.preferred_name AS employee_name, TIMESTAMP '1970-01-01 00:00:00' + s.timestamp_unix * INTERVAL 1 SECOND AS request_timestamp,
       s.timestamp_unix AS request_timestamp_unix, 'LOA' AS type_of_time_off, d.full_date AS time_off_date, CAST(8 AS DOUBLE) AS duration_hours,
       'Approved' AS status, s.employee_id || '|' || d.full_date || '|8.0' AS upi

@@ -176,6 +176,20 @@ def _(t: Inputs):
     return schema_history.schema_snapshot(t.catalog_new, t.relation_rows, "2024-02-01")
 
 
+_CONTENT = " || '|' || ".join(
+    f"COALESCE(LENGTH(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'n')" for c in ("doc_id", "text", "lang", "source", "n_chars")
+)
+
+
+@query(
+    "content_hash",
+    f"""SELECT COUNT(*) AS row_count, CAST(COALESCE(SUM(CAST('0x' || SUBSTR(md5({_CONTENT}), 1, 15) AS BIGINT)), 0) AS VARCHAR) AS content_hash
+    FROM {{documents}}""",
+)
+def _(t: Inputs):
+    return schema_history.content_hash(t.documents, ["doc_id", "text", "lang", "source", "n_chars"])
+
+
 @query(
     "schema_change_log",
     f"""SELECT * FROM (SELECT model_name, version_no, LAG(hash_value) OVER w AS previous_hash, hash_value,

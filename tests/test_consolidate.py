@@ -54,3 +54,13 @@ def test_keys(spark):
     assert K.key_columns_by_name(renamed, plain, fallback="first") == ["c0"]
     got = {r["column_name"]: r["is_key"] for r in K.infer_keys(sources, target).collect()}
     assert got == {"user_id": False, "name": False}  # one id is NULL
+
+
+def test_confirm_keys_counts_nulls_and_pairs(spark):
+    a = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (None, 1, "z")], "a_id int, b_id int, v string")
+    b = spark.createDataFrame([(1, 1, "x"), (1, 2, "x")], "a_id int, b_id int, v string")
+    got = {(r["relation_name"], r["key_columns"]): (r["distinct_count"], r["is_key"], r["confirmed"]) for r in K.confirm_keys({"a": a}, b).collect()}
+    assert got[("a", "v")] == (3, True, False) and got[("target", "v")] == (1, False, False)
+    assert got[("a", "a_id, b_id")] == (2, False, False) and got[("target", "a_id, b_id")] == (2, True, False)
+    empty = b.filter("false")
+    assert all(r["confirmed"] for r in K.confirm_keys({"a": empty}, empty).collect())

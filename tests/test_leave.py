@@ -231,3 +231,13 @@ def test_merge_stream(spark, tmp_path, late, expected):
 def test_far_end_is_cut_to_the_calendar(spark):
     got = E.expand_leave_days(leave(spark, (1, D(2020, 1, 1), D(9999, 12, 31), None)), dates(spark))
     assert got.count() == 43  # working days of the calendar
+
+
+def test_history_of_a_dimension(spark):
+    first = E.typed_time_off(time_off(spark, ("1", "2024-06-01", "8", "old", "10"), (None, "2024-06-01", "8", "n", "1")), "2024-06-01")
+    second = E.typed_time_off(time_off(spark, ("1", "2024-06-01", "8", "new", "20"), (None, "2024-06-01", "8", "n", "2")), "2024-06-02")
+    employees = spark.createDataFrame([(1, "Ann")], "employee_id int, employee_name string")
+    got = E.dim_time_off(first.union(second), employees, history=True)
+    moment = dt.datetime(2024, 6, 2)
+    assert rows(got.filter("employee_id = 1"), "status", "valid_to", "is_current") == [("new", None, True), ("old", moment, False)]
+    assert got.filter("employee_id is null and is_current").count() == 2

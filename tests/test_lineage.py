@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from helpers import rows
+from helpers import final_plan, rows
 
 from plumbline.operators import lineage as L
 
@@ -80,3 +80,8 @@ def test_vestigial(spark):
     inventory = spark.createDataFrame([("s", "a", "table"), ("s", "old", "view"), ("s", "kept", "view"), ("t", "x", "table"), ("u", "y", "table")], "schema_name string, ref_name string, ref_type string")
     expected = spark.createDataFrame([("s", "a"), ("u", "z")], "schema_name string, ref_name string")
     assert rows(L.vestigial_relations(inventory, expected, "u", ["s.kept"])) == [("s", "old", "view")]
+
+
+def test_levels_are_computed_once(graph):
+    nodes, edges = graph
+    assert final_plan(L.upstream_bounded(nodes, edges, "mart", 3)).count("Join") <= 2 * 6  # initial and final plan

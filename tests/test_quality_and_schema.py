@@ -106,3 +106,12 @@ def test_migration_impact(spark):
         ("a", "d", "b", 2, "High"),
         ("b", "d", "b", 1, "Medium"),
     ]
+
+
+def test_content_hash_ignores_order_but_not_repeats(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("", None), (None, 2)], "s string, n int")
+    whole = H.content_hash(df).first()
+    assert H.content_hash(df.orderBy("n").repartition(3)).first() == whole
+    assert H.content_hash(df.distinct()).first()["content_hash"] != whole["content_hash"]
+    assert H.content_hash(df.fillna("")).first()["content_hash"] != whole["content_hash"]
+    assert tuple(H.content_hash(df.filter("false")).first()) == (0, "0")
