@@ -21,6 +21,7 @@ HEADLINE = [
     "column_compare",
     "column_compare_repeated_keys",
     "column_compare_rows",
+    "column_compare_by_key",
     "key_reconcile",
     "row_compare",
     "env_chain_compare",
@@ -30,6 +31,7 @@ HEADLINE = [
     "consolidation_missing_union",
     "profile_dataset",
     "profile_dataset_string",
+    "profile_columns",
     "summarize_grouped",
     "aggregate_measure",
     "find_duplicates",
@@ -42,10 +44,13 @@ HEADLINE = [
     "semantic_version",
     "upstream_closure",
     "downstream_impact",
+    "subgraph_edges",
+    "migration_impact",
     "reference_edges_pages",
     "stage_time_off",
     "expand_leave_days",
     "fct_time_off_leave",
+    "merge_stream",
 ]
 
 
