@@ -235,6 +235,14 @@ def test_lm_scores_against_counts(odd, plain_odd_rows):
     assert lm_scores(odd([]), F.lit(True)).count() == 0
 
 
+def test_long_unknown_words_cost_their_whole_spelling(odd):
+    draw = random.Random(7)
+    blocks = ["".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=k)) for k in (2_000, 20_000)]
+    texts = [*((40 + k, " ".join(sentences(k, 3))) for k in range(30)), (93, blocks[0]), (100, blocks[1])]  # both held out
+    got = {r["doc_id"]: r for r in lm_scores(odd(texts), F.col("id") % 7 != 2).collect()}
+    assert all(got[i]["bits_per_byte"] > 3 for i in (93, 100)) and got[100]["score"] < 9 * got[93]["score"]
+
+
 def test_hilbert_neighbours_touch():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), axis=-1).reshape(-1, 3)
     keys = hilbert_key(cells, 3)
