@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.decontamination import leaked_items, without_leaks
 from plumbline.llm.licenses import license_scan
 from plumbline.llm.license_rules import GATES, rules
-from plumbline.llm.lm_scoring import lm_scores
+from plumbline.llm.lm_scoring import bits_of, fit, lm_scores, segments
 from plumbline.llm.near_dedup import likeliest, near_duplicates, registers
 from plumbline.llm.packing import WordEncoder, hilbert_key, packed
 from plumbline.llm.queries import word_tokenizer
@@ -243,6 +243,15 @@ def test_long_unknown_words_cost_their_whole_spelling(odd):
     assert all(got[i]["bits_per_byte"] > 3 for i in (93, 100)) and got[100]["score"] < 9 * got[93]["score"]
 
 
+def test_contexts_of_very_many_words_keep_their_odds(spark):
+    letter = F.when(F.col("id") % 10 < 7, F.lit("a")).otherwise(F.lit("5"))
+    model = fit(spark.range(300_000).select(F.concat(letter, F.col("id").cast("string")).alias("word")), 300_000)
+    steps = bits_of(*segments(pa.array(["a"]))[:2])
+    next(steps)
+    _, slots, _, bit = next(steps)  # the bit that tells letters from digits, at the beginning of a word: 210,000 ones and 90,000 zeros
+    assert bit[0] == 1 and abs(model.odds[slots[0, 0]] - math.log(210 / 90)) < 0.01
+
+
 def test_hilbert_neighbours_touch():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), axis=-1).reshape(-1, 3)
     keys = hilbert_key(cells, 3)
