@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from plumbline.llm.common import SMALL_SIDE_ROWS, fingerprint, small_or_shuffled, stored
 
 WINDOW = 8  # template tokens
-LITERALS = 5  # of them no placeholders, at least
+LITERALS = 5  # of them no placeholders, at least; a window of fewer is met by its exact tokens only
 OVERLAP = 13  # tokens of an overlap that counts
 
 NUMBER, UNIT, NAME = -1, -2, -3  # in place of a literal's hash
@@ -61,6 +61,14 @@ def template(toks: Column) -> Column:
     return F.transform(toks, code)
 
 
+def _bare(token: Column) -> Column:
+    return F.lower(F.regexp_replace(token, _LEAD, ""))
+
+
+def _exact(toks: Column) -> Column:
+    return F.transform(toks, lambda t: F.xxhash64(_bare(t)))
+
+
 def _windows(codes: Column, size: int) -> Column:
     hashes = F.transform(F.sequence(F.lit(1), F.size(codes) - (size - 1)), lambda i: F.xxhash64(F.slice(codes, i, size)))
     return F.when(F.size(codes) >= size, hashes)
@@ -76,6 +84,7 @@ def leaked_items(
 ) -> DataFrame:
     """(id, tag, item_id, doc_start, item_start, n_tokens, item_tokens, n_slots, same_values) of overlaps of documents with benchmark items.
 
+    Windows of fewer than LITERALS literals meet by their tokens in lower case, all others by their template.
     One row per document, item and diagonal; starts and lengths in template tokens. ``tag`` is a fingerprint of the text, which with the id
     tells rows apart; repeated rows share their rows here. Items (item_id, text) of fewer than ``overlap`` tokens count when covered whole, those of fewer than
     ``window`` tokens, null or empty ones never. Items that share an item_id are one item per text. Null ids are kept as such.
@@ -83,16 +92,25 @@ def leaked_items(
     given = docs.select(F.col(f"`{doc_id}`").alias("id"), fingerprint(F.col(f"`{text}`")).alias("tag"), F.col(f"`{text}`").alias("text"))
     items = benchmark.select("item_id", fingerprint(F.col("text")).alias("item_tag"), tokens(F.col("text")).alias("item_toks")).distinct()
     items = stored(items.withColumn("codes", template(F.col("item_toks"))).withColumn("item_tokens", F.size("codes")), "items")
-    known = items.select("item_id", "item_tag", "item_tokens", F.posexplode(_windows(F.col("codes"), window)).alias("item_at", "hash"), "codes")
+    both = F.arrays_zip(_windows(F.col("codes"), window).alias("of_template"), _windows(_exact(F.col("item_toks")), window).alias("of_tokens"))
+    known = items.select("item_id", "item_tag", "item_tokens", F.posexplode(both).alias("item_at", "w"), "codes")
     literal = F.size(F.filter(F.slice(F.col("codes"), F.col("item_at") + 1, window), lambda c: ~c.isin(NUMBER, UNIT, NAME)))
-    known = stored(known.where(literal >= min(LITERALS, window)).drop("codes"), "item-windows")
+    known = known.withColumn("thin", literal < min(LITERALS, window))
+    known = known.withColumn("hash", F.when(F.col("thin"), F.col("w.of_tokens")).otherwise(F.col("w.of_template"))).drop("codes", "w")
+    known = stored(known, "item-windows")
+    any_thin = not known.where("thin").isEmpty()
     side = F.broadcast(known) if known.count() <= SMALL_SIDE_ROWS else known
 
     codes = template(F.col("toks"))
     seen = given.select("id", "tag", tokens(F.col("text")).alias("toks")).where(F.size("toks") >= window)
-    seen = seen.select("id", "tag", codes.alias("codes"))
-    seen = seen.select("id", "tag", F.posexplode(_windows(F.col("codes"), window)).alias("at", "hash"))
-    met = seen.join(side, "hash")
+    seen = seen.select("id", "tag", codes.alias("codes"), *([_exact(F.col("toks")).alias("exact")] if any_thin else []))
+
+    def placed(hashed: str, thin: bool) -> Column:
+        return F.transform(_windows(F.col(hashed), window), lambda h, i: F.struct(F.lit(thin).alias("thin"), i.alias("at"), h.alias("hash")))
+
+    windows = F.concat(placed("codes", False), placed("exact", True)) if any_thin else placed("codes", False)
+    seen = seen.select("id", "tag", F.explode(windows).alias("w")).select("id", "tag", "w.thin", "w.at", "w.hash")
+    met = seen.join(side, ["thin", "hash"])
     overlaps = met.groupBy("id", "tag", "item_id", "item_tag", "item_tokens", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.array_sort(F.collect_set("item_at")).alias("ats")  # at most one entry per token of the item
     )
@@ -111,9 +129,8 @@ def leaked_items(
     rows = stored(used.select(F.col("id").alias("of_id"), F.col("tag").alias("of_tag")).distinct(), "slot-rows")
     texts = given.join(small_or_shuffled(rows), F.expr("id <=> of_id and tag = of_tag"), "left_semi").dropDuplicates(["id", "tag"])
     texts = texts.select(F.col("id").alias("of_id"), F.col("tag").alias("of_tag"), tokens(F.col("text")).alias("toks"))
-    strip = lambda c: F.lower(F.regexp_replace(c, _LEAD, ""))
     pairs = used.join(texts, F.expr("id <=> of_id and tag = of_tag")).select(
-        *key, F.struct("kind", strip(F.col("item_value")).alias("v")).alias("theirs"), F.struct("kind", strip(F.get("toks", F.col("place") + F.col("shift"))).alias("v")).alias("ours")
+        *key, F.struct("kind", _bare(F.col("item_value")).alias("v")).alias("theirs"), F.struct("kind", _bare(F.get("toks", F.col("place") + F.col("shift"))).alias("v")).alias("ours")
     )
     judged = pairs.groupBy(*key).agg(
         F.count("*").alias("n_slots"),

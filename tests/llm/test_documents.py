@@ -218,6 +218,16 @@ def test_leaks_of_copied_and_changed_items(spark, odd, plain_odd_rows):
     assert leaked_items(odd([]), bench).count() == 0 and leaked_items(odd(texts), bench.limit(0)).count() == 0
 
 
+def test_leaks_of_items_full_of_numbers_or_names(spark, odd):
+    sums = "If 3 x + 5 y = 20 and 2 x - 4 y = 10, what is x?"
+    people = "Those were Alice Brown, Carol Davis, Erin Fox, Grace Hill, Ivan Jones, Kate Lane and Mia Nash."
+    bench = spark.createDataFrame([(1, sums), (2, people)], "item_id long, text string")
+    other = sums.replace("20", "21").replace("10", "11").replace("5 y", "6 y").replace("3 x", "9 x")
+    texts = [(1, f"Before. {sums} After."), (2, f"before {people.lower()} after"), (3, people.upper()), (4, f"Before. {other} After."), (5, "1 2 3 " * 20)]
+    got = {(r["doc_id"], r["item_id"], r["n_tokens"], r["same_values"]) for r in leaked_items(odd(texts), bench).collect()}
+    assert got == {(1, 1, 15, True), (2, 2, 17, True), (3, 2, 17, True)}
+
+
 def test_lm_scores_against_counts(odd, plain_odd_rows):
     texts = [*plain_odd_rows, *((40 + k, " ".join(sentences(k, 3))) for k in range(30)), (90, "ÀB " + "z" * 5000)]
     got = lm_scores(odd(texts), F.col("id") % 7 != 2).collect()
