@@ -29,8 +29,8 @@ BASE = [
 
 #: family: (keyword, name, {version: how it is written}); the version is empty where none is told
 NAMED = {
-    "apache": ("apache", r"(?:asf|apache)(?: software)?(?: foundation)? licen[sc]e", {"": "", "1.0": r" (?:v|version )?1 0", "1.1": r" (?:v|version )?1 1", "2.0": r" (?:v|version )?2(?: 0)?"}),
-    "mit": ("mit licen", r"(?:mit|expat) licen[sc]e", {"": ""}),
+    "apache": ("apache", r"apache(?: software)?(?: foundation)? licen[sc]e", {"": "", "1.0": r" (?:v|version )?1 0", "1.1": r" (?:v|version )?1 1", "2.0": r" (?:v|version )?2(?: 0)?"}),
+    "mit": ("mit licen", r"mit licen[sc]e", {"": ""}),
     "bsd": ("bsd", r"bsd(?: style)? licen[sc]e", {"": "", "2-clause": r" 2 clause", "3-clause": r" 3 clause", "4-clause": r" 4 clause"}),
     "isc": ("isc licen", r"isc licen[sc]e", {"": ""}),
     "gpl": ("general public", r"(?:gnu )?general public licen[sc]e", {"": "", "1.0": r" (?:v|version )?1(?: 0)?", "2.0": r" (?:v|version )?2(?: 0)?", "3.0": r" (?:v|version )?3(?: 0)?"}),
@@ -51,10 +51,16 @@ NAMED = {
     "ms-pl": ("microsoft public", r"microsoft public licen[sc]e", {"": ""}),
     "postgresql": ("postgresql licen", r"postgresql licen[sc]e", {"": ""}),
     "python": ("python software foundation", r"python software foundation licen[sc]e", {"": "", "2.0": r" (?:v|version )?2(?: 0)?"}),
-    "wtfpl": ("public license", r"do what the fuck you want to public licen[sc]e", {"": ""}),
+    "wtfpl": ("public licen", r"do what the fuck you want to public licen[sc]e", {"": ""}),
     "cc0": ("cc0", r"cc0", {"": "", "1.0": r" (?:v|version )?1 0"}),
 }
 
+#: other names of a family, by keywords of their own
+ALIASES = [
+    ("apache", ("asf", r"asf(?: software)?(?: foundation)? licen[sc]e", NAMED["apache"][2])),
+    ("mit", ("expat licen", r"expat licen[sc]e", NAMED["mit"][2])),
+]
+
 #: written before a name: (words, priority, confidence)
 FORMS = [
     (r"", 1, 0.6),
@@ -105,7 +111,7 @@ SPDX_IDS = {
 def rules() -> list[Rule]:
     """All rules, base ones first."""
     found = list(BASE)
-    for (family, (keyword, name, versions)), (before, priority, confidence) in product(NAMED.items(), FORMS):
+    for (family, (keyword, name, versions)), (before, priority, confidence) in product([*NAMED.items(), *ALIASES], FORMS):
         for version, written in versions.items():
             label = f"{family}-{version}" if version else family
             found.append(Rule(label, priority + bool(version), keyword, before + name + written, confidence))
@@ -122,7 +128,7 @@ def rules() -> list[Rule]:
 
 #: one of these is in the lower-cased text wherever a rule's keyword is in its words
 GATES = [
-    "licen", "reserved", "apache", "bsd", "general", "documentation", "public", "distribution", "boost", "zlib", "open font",
+    "licen", "reserved", "apache", "bsd", "general", "documentation", "public", "distribution", "boost", "zlib", "open font", "asf",
     "database", "foundation", "cc0", "creative", "permission", "redistribut", "promote", "software", "domain", "warranty",
     "provided", "copyright", "proprietary", "unauthorized", "spdx",
 ]

@@ -174,6 +174,33 @@ def test_license_rules_pass_their_gates():
     assert all("cc by" in r.keyword or any(g in r.keyword for g in GATES) for r in rules())
 
 
+def test_every_alternative_of_a_license_rule_holds_its_keyword(odd):
+    def matches(parts):
+        found = [""]
+        for op, arg in parts:
+            name = str(op)
+            if name == "LITERAL":
+                each = [chr(arg)]
+            elif name == "SUBPATTERN":
+                each = matches(arg[3])
+            elif name == "BRANCH":
+                each = [m for branch in arg[1] for m in matches(branch)]
+            elif name == "IN":
+                each = [chr(c) for kind, v in arg for c in ((v,) if str(kind) == "LITERAL" else v[:1])]
+            else:
+                assert name == "MAX_REPEAT"
+                each = [m * k for k in {arg[0], max(arg[0], 1)} for m in matches(arg[2])]
+            found = [a + b for a in found for b in dict.fromkeys(each)]
+        return found
+
+    for rule in rules():
+        made = matches(re._parser.parse(rule.pattern))
+        assert made and all(re.fullmatch(rule.pattern, m) and rule.keyword in m for m in made), rule
+    texts = [(1, "Licensed under the Expat License."), (2, "ASF License 2.0"), (3, "Do What The Fuck You Want To Public Licence")]
+    got = {r["doc_id"]: r["labels"] for r in license_scan(odd(texts)).collect()}
+    assert got == {1: "mit", 2: "apache-2.0", 3: "wtfpl"}
+
+
 def test_licenses_against_words(odd, plain_odd_rows):
     texts = [
         *plain_odd_rows,
