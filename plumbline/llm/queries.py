@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from plumbline.llm.common import table
 from plumbline.llm.decontamination import leaked_items
 from plumbline.llm.embedding_dedup import embedding_near_duplicates
+from plumbline.llm.fill_in_middle import fill_in_middle, restored
 from plumbline.llm.licenses import license_scan
+from plumbline.llm.line_dedup import without_repeated_lines
 from plumbline.llm.lm_scoring import lm_scores
 from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.packing import packed
 from plumbline.llm.sharding import first_map, grown_map, sharded
+from plumbline.llm.source_audit import source_divergences
 from plumbline.llm.substring_dedup import without_repeated_spans
 from plumbline.llm.toxicity import toxic_passages
 from plumbline.llm.warc import archived
@@ -97,6 +100,25 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"), *names)
 
 
+@_query
+def op11_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergences(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    again = restored(F.col("output"), F.col("form"))
+    digests = (F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@_query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 ORACLES["op3_minhash_near_dedup"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -121,3 +143,47 @@ degree AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a)
 SELECT vec_id, COALESCE(n, 0) AS n_links, MIN(low) AS component_id, MIN(low) = vec_id AS kept
 FROM embeddings LEFT JOIN degree ON a = vec_id JOIN reach ON node = vec_id GROUP BY vec_id, n
 """
+
+ORACLES["op11_source_divergence_audit"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+    regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+t AS (SELECT doc, lang, source, UNNEST(ts) AS term FROM d),
+kept AS (SELECT lang, term, COUNT(*) AS c FROM t GROUP BY 1, 2 HAVING COUNT(DISTINCT doc) >= 3),
+grp AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, COUNT(*) AS c FROM t GROUP BY 1, 2, 3),
+cells AS (SELECT g.lang, g.source, k.term, COALESCE(n.c, 0) AS c, k.c AS lc FROM grp g JOIN kept k USING (lang) LEFT JOIN n USING (lang, source, term)),
+sums AS (SELECT *, CAST(SUM(c) OVER s + COUNT(*) OVER s AS HUGEINT) AS gn, CAST(SUM(lc) OVER s + COUNT(*) OVER s AS HUGEINT) AS ln
+  FROM cells WINDOW s AS (PARTITION BY lang, source)),
+p AS (SELECT lang, source, term, c, 1 + 1000000000::HUGEINT * (c + 1) // gn AS p, 1 + 1000000000::HUGEINT * (lc + 1) // ln AS q FROM sums),
+sides AS (SELECT a.lang, a.source, b.source AS item FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source),
+gaps AS (SELECT a.lang, a.source, b.source AS item, SUM((a.p - b.p) * (a.p - b.p) // b.p) AS v FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+found AS (
+  SELECT lang, source, 'pair' AS part, item, COALESCE(v, 0) AS value FROM sides LEFT JOIN gaps USING (lang, source, item)
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200
+"""
+
+ORACLES["op12_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, COALESCE(text, '') AS t, sha256('42:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us, [CAST('0x' || h[8 * k + 1:8 * k + 8] AS BIGINT) FOR k IN [0, 1, 2, 3]] AS r FROM d),
+c AS (SELECT doc_id, t, us, len(us) AS n, LEAST(r[1] % (len(us) + 1), r[2] % (len(us) + 1)) AS i, GREATEST(r[1] % (len(us) + 1), r[2] % (len(us) + 1)) AS j,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 50 THEN 'plain' WHEN r[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+s AS (SELECT *, array_to_string(us[1:i], '') AS p, array_to_string(us[i + 1:j], '') AS m, array_to_string(us[j + 1:], '') AS x FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || x || '<M>' || m ELSE '<S>' || x || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM s
+"""
+
+ORACLES["op13_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, UNNEST(ls) AS line, UNNEST(range(1, len(ls) + 1)) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+g AS (SELECT key, MIN(doc_id) AS low FROM k WHERE length(key) >= 10 GROUP BY key HAVING COUNT(DISTINCT doc_id) >= 2),
+m AS (SELECT k.doc_id, k.pos, k.line, g.key IS NOT NULL AND k.doc_id > g.low AS gone FROM k LEFT JOIN g ON g.key = k.key)
+SELECT doc_id, CAST(COUNT(*) AS BIGINT) AS n_lines, CAST(COUNT(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(COALESCE(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
