@@ -1,11 +1,9 @@
-"""Exact continuous percentiles without holding a large group in one task.
-
-A group of a checked size is ranked in one window over its counted values. A larger group is
-answered in two passes: a bounded sketch
-brackets each requested rank, then everything outside the brackets is only counted, the
-values inside are kept, and the rank is read from a running count. The kept values are a
-small fixed share of the rows and are cut into slices, so the running count of one bracket
-is spread over many tasks.
+"""Exact continuous percentiles, read off one ledger of counted values in global order.
+
+Values are counted per group and column, so a frequent value is one row, and dealt by range of (group, column, value). A
+range, called a slice here, is all one task ever holds; how many rows lie before it is a running sum over the few slices of a
+group. Only slices that hold a wanted rank are read again, each with a running count of its own. One way for every
+size: nothing depends on how large a group is or how many groups there are.
 """
 
 from __future__ import annotations
@@ -16,62 +14,57 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.functions.columns import col
-from plumbline.session import cut_lineage
-
-SMALL_GROUP = 500_000  # groups up to this many rows are ranked in one window
-BROADCAST_GROUPS = 100_000  # larger groups up to this number are broadcast as a list
-ACCURACY = 1_000  # rank error of the sketch is rows / ACCURACY
-MARGIN = 4.0 / ACCURACY  # half width of a bracket, four times that error
-SLICES = 1_024  # equal-width slices per bracket
-SMALL = 10_000  # below this many values, where a bracket would span few rows, all are kept
-
-
-def _bounds(columns: Sequence[str], probs: Sequence[float]) -> list[Column]:
-    """Per column the lower and upper cuts of every bracket."""
-    low = [max(p - MARGIN, 0.0) for p in probs]
-    high = [min(p + MARGIN, 1.0) for p in probs]
-    share = F.array(*[F.lit(p) for p in low + high])
-    found = []
-    for i, c in enumerate(columns):
-        value = col(c)
-        sketched = F.percentile_approx(value, share, ACCURACY)
-        few = F.count(value) < SMALL
-        lows = F.when(few, F.array_repeat(F.min(value), len(probs))).otherwise(F.slice(sketched, 1, len(probs)))
-        highs = F.when(few, F.array_repeat(F.max(value), len(probs))).otherwise(
-            F.slice(sketched, len(probs) + 1, len(probs))
-        )
-        found.append(F.struct(F.lit(i).alias("c"), lows.alias("lows"), highs.alias("highs")).alias(f"__b{i}"))
-    return found
+from plumbline.session import stored
 
 
 def exact_percentiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    small_group: int = SMALL_GROUP,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Long frame (by..., column_name, prob, value) of interpolated percentiles.
 
     Equal to ``percentile_cont`` over the non-null values; columns without any value have
-    no value. Group sizes are counted first to choose the way for each group.
+    no value. The ledger is written to the shared folder.
     """
     columns, probs, by = list(columns), sorted(probs), list(by)
+    narrow, keys = _narrow(df, columns, by)
+    group = [*keys, "c"]
+    counted = _cells(narrow, keys, columns).groupBy(*group, "v").agg(F.count(F.lit(1)).alias("n"))
+    ordered = counted.repartitionByRange(*group, "v").withColumn("s", F.spark_partition_id())
+    ledger = stored(ordered, "percentile-ledger")  # fixes which slice a value lies in
+    needed = _needed_slices(ledger, group, probs)
     if not by:
-        return (_windowed if df.count() <= small_group else _bracketed)(df, columns, probs, by)
-    sizes = df.groupBy(*[col(b) for b in by]).agg(F.count(F.lit(1)).alias("__size"))
-    names = {b: f"__l{i}" for i, b in enumerate(by)}
-    large = cut_lineage(
-        sizes.filter(F.col("__size") > small_group).select(*[col(b).alias(n) for b, n in names.items()])
+        needed = F.broadcast(needed)  # two slices at most per column and percentile
+    renamed = {name: f"__o_{name}" for name in [*group, "s"]}
+    same = [F.col(n).eqNullSafe(F.col(o)) for n, o in renamed.items()]
+    within = Window.partitionBy(*group, "s").orderBy("v")
+    placed = ledger.join(needed.withColumnsRenamed(renamed), same).select(
+        *group, "v", "n", "total", (F.col("before") + F.sum("n").over(within)).alias("upto")
+    )
+    return _pick(placed, keys, columns, probs, by)
+
+
+def _ranks(total: Column, prob: float) -> tuple[Column, Column, Column]:
+    """Wanted rank from 0, and the whole ranks below and above it."""
+    rank = (total - 1).cast("double") * F.lit(float(prob))
+    return rank, F.floor(rank).cast("bigint"), F.ceil(rank).cast("bigint")
+
+
+def _needed_slices(ledger: DataFrame, group: list[str], probs: list[float]) -> DataFrame:
+    """(group, s, before, total) of the slices that hold a wanted rank."""
+    slices = ledger.groupBy(*group, "s").agg(F.sum("n").alias("slice_rows"))
+    in_order = Window.partitionBy(*group).orderBy("s")  # a row per slice of the group
+    slices = slices.select(
+        *group,
+        "s",
+        "slice_rows",
+        (F.sum("slice_rows").over(in_order) - F.col("slice_rows")).alias("before"),
+        F.sum("slice_rows").over(Window.partitionBy(*group)).alias("total"),
     )
-    found = large.count()
-    if found == 0:
-        return _windowed(df, columns, probs, by)
-    if found <= BROADCAST_GROUPS:
-        large = F.broadcast(large)
-    same = [col(b).eqNullSafe(F.col(n)) for b, n in names.items()]
-    small_part = _windowed(df.join(large, same, "left_anti"), columns, probs, by)
-    return small_part.unionByName(_bracketed(df.join(large, same, "left_semi"), columns, probs, by))
+    held = []
+    for p in probs:
+        _, low, high = _ranks(F.col("total"), p)
+        held.append((low < F.col("before") + F.col("slice_rows")) & (high >= F.col("before")))
+    return slices.filter(reduce(lambda a, b: a | b, held)).drop("slice_rows")
 
 
 def _narrow(df: DataFrame, columns: list[str], by: list[str]) -> tuple[DataFrame, list[str]]:
@@ -87,88 +80,13 @@ def _cells(narrow: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return narrow.select(*keys, F.inline(F.array(*cells))).filter(F.col("v").isNotNull())
 
 
-def _windowed(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> DataFrame:
-    narrow, keys = _narrow(df, columns, by)
-    counted = _cells(narrow, keys, columns).groupBy(*keys, "c", "v").agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy(*keys, "c")
-    placed = counted.select(
-        *keys, "c", "v", "n", F.sum("n").over(group).alias("total"), F.sum("n").over(group.orderBy("v")).alias("upto")
-    )
-    return _pick(placed, keys, columns, probs, by)
-
-
-def _bracketed(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> DataFrame:
-    narrow, keys = _narrow(df, columns, by)
-    measured = [f"__x{i}" for i in range(len(columns))]
-    bounds = (
-        narrow.groupBy(*keys)
-        .agg(*_bounds(measured, probs))
-        .select(*keys, F.inline(F.array(*[F.col(f"__b{i}") for i in range(len(columns))])))
-        .withColumnsRenamed({**{k: "__j" + k for k in keys}, "c": "__jc"})
-    )
-    if not by:
-        bounds = F.broadcast(bounds)  # one row per column
-    same = [F.col("c") == F.col("__jc"), *[F.col(k).eqNullSafe(F.col("__j" + k)) for k in keys]]
-    begun = reduce(lambda a, b: a + b, [(F.col("v") >= F.col("lows")[j]).cast("int") for j in range(len(probs))])
-    rows = (
-        _cells(narrow, keys, columns)
-        .join(bounds, same, "inner")
-        .withColumn("k", begun)
-        .withColumn("low", F.get("lows", F.col("k") - 1))
-        .withColumn("high", F.get("highs", F.col("k") - 1))
-    )
-    # Brackets ascend, so a value lies in one exactly if it lies in the last that has begun.
-    inside = F.coalesce(F.col("v") <= F.col("high"), F.lit(False))
-    width = F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
-    part = F.coalesce(F.floor((F.col("v") - F.col("low")) / width * SLICES).cast("int"), F.lit(0))
-    counted = (
-        rows.select(
-            *keys,
-            "c",
-            "k",
-            F.when(inside, F.least(part, F.lit(SLICES - 1))).otherwise(SLICES).alias("s"),
-            F.when(inside, F.col("v")).alias("v"),
-        )
-        .groupBy(*keys, "c", "k", "s", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return _read_ranks(counted, keys, columns, probs, by)
-
-
-def _read_ranks(
-    counted: DataFrame, keys: list[str], columns: list[str], probs: list[float], by: list[str]
-) -> DataFrame:
-    group = [*keys, "c"]
-    # One row per slice: how many rows lie in it and before it. Bounded by brackets x slices.
-    per_slice = counted.groupBy(*group, "k", "s").agg(F.sum("n").alias("slice_rows"))
-    in_order = Window.partitionBy(*group).orderBy("k", "s")
-    per_slice = per_slice.select(
-        *group,
-        "k",
-        "s",
-        (F.sum("slice_rows").over(in_order) - F.col("slice_rows")).alias("before"),
-        F.sum("slice_rows").over(Window.partitionBy(*group)).alias("total"),
-    )
-    renamed = {name: f"__o_{name}" for name in [*group, "k", "s"]}
-    offsets = per_slice.withColumnsRenamed(renamed)
-    same_slice = [F.col(n).eqNullSafe(F.col(o)) for n, o in renamed.items()]
-    within = Window.partitionBy(*group, "k", "s").orderBy("v")
-    placed = (
-        counted.filter(F.col("v").isNotNull())
-        .join(offsets, same_slice, "inner")
-        .select(*group, "v", "n", "total", (F.col("before") + F.sum("n").over(within)).alias("upto"))
-    )
-    return _pick(placed, keys, columns, probs, by)
-
-
 def _pick(placed: DataFrame, keys: list[str], columns: list[str], probs: list[float], by: list[str]) -> DataFrame:
     """Interpolated values at the wanted ranks of values with their count and running count."""
     group = [*keys, "c"]
     first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
     picks = []
     for j, p in enumerate(probs):
-        rank = (F.col("total") - 1).cast("double") * F.lit(float(p))
-        low, high = F.floor(rank).cast("bigint"), F.ceil(rank).cast("bigint")
+        _, low, high = _ranks(F.col("total"), p)
         picks += [
             F.max(F.when((first <= low) & (low <= last), F.col("v"))).alias(f"low{j}"),
             F.max(F.when((first <= high) & (high <= last), F.col("v"))).alias(f"high{j}"),
@@ -176,12 +94,10 @@ def _pick(placed: DataFrame, keys: list[str], columns: list[str], probs: list[fl
     ranked = placed.groupBy(*group).agg(F.max("total").alias("total"), *picks)
     answers = []
     for j, p in enumerate(probs):
-        rank = (F.col("total") - 1).cast("double") * F.lit(float(p))
+        rank, _, _ = _ranks(F.col("total"), p)
         low, high = F.col(f"low{j}"), F.col(f"high{j}")
         value = low + (high - low) * (rank - F.floor(rank))
-        missed = low.isNull() | high.isNull()
-        checked = F.when(missed, F.raise_error(F.lit("percentile outside its bracket")).cast("double")).otherwise(value)
-        answers.append(F.struct(F.lit(float(p)).alias("prob"), checked.alias("value")))
+        answers.append(F.struct(F.lit(float(p)).alias("prob"), value.alias("value")))
     names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("c") + 1)
     return ranked.select(
         *[F.col(k).alias(b) for k, b in zip(keys, by)], names.alias("column_name"), F.inline(F.array(*answers))

@@ -59,3 +59,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, computed once."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

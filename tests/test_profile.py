@@ -7,6 +7,7 @@ from helpers import one, rows
 from pyspark.sql import functions as F
 
 from plumbline.functions import values as V
+from plumbline.functions import percentiles
 from plumbline.functions.percentiles import exact_percentiles
 from plumbline.operators import drift as D
 from plumbline.operators import profile as P
@@ -61,8 +62,8 @@ def test_sample(spark):
     assert P.sample_rows(df.filter("id < 0"), 10).count() == 0
 
 
-@pytest.mark.parametrize("small_group", [10**6, 0, 5000])
-def test_percentiles_of_large_and_small_groups(spark, small_group):
+@pytest.mark.parametrize("partitions", [1, 4, 37])
+def test_percentiles_of_large_and_small_groups(spark, partitions):
     # one group holds most rows, one value holds a third of them
     df = spark.range(60000).selectExpr(
         "if(id % 10 < 8, 'hot', if(id % 10 = 8, 'cold', null)) g",
@@ -73,20 +74,46 @@ def test_percentiles_of_large_and_small_groups(spark, small_group):
     want = {
         r["g"]: r for r in df.groupBy("g").agg(F.percentile("x", probs).alias("x"), F.percentile("y", probs).alias("y")).collect()
     }
-    got = exact_percentiles(df, ["x", "y"], probs, ["g"], small_group).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as many slices as partitions
+    try:
+        got = exact_percentiles(df, ["x", "y"], probs, ["g"]).collect()
+        ungrouped = exact_percentiles(df, ["x"], probs).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(got) == 3 * 2 * 6
     for r in got:
         assert r["value"] == pytest.approx(want[r["g"]][r["column_name"]][probs.index(r["prob"])], rel=1e-9)
     whole = df.agg(F.percentile("x", probs).alias("x")).collect()[0]["x"]
-    for r in exact_percentiles(df, ["x"], probs, small_group=small_group).collect():
+    assert len(ungrouped) == 6
+    for r in ungrouped:
         assert r["value"] == pytest.approx(whole[probs.index(r["prob"])], rel=1e-9)
 
 
 def test_percentiles_ignore_null_only_columns(spark):
     df = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
-    for small_group in (10, 0):
-        got = {r["column_name"]: r["value"] for r in exact_percentiles(df, ["a", "b"], [0.5], small_group=small_group).collect()}
-        assert got.pop("b", None) is None and got == {"a": 2.0}
+    got = {r["column_name"]: r["value"] for r in exact_percentiles(df, ["a", "b"], [0.5]).collect()}
+    assert got == {"a": 2.0}
+    assert exact_percentiles(df.filter("a < 0"), ["a", "b"], [0.5]).count() == 0
+
+
+def test_percentiles_read_only_the_slices_that_hold_a_rank(spark):
+    """40 slices, one column, one percentile: the ranked rows are those of at most two slices; a value held by a third is one row."""
+    df = spark.range(80_000, numPartitions=8).selectExpr("cast(if(id % 3 = 0, 1000, id) as double) x")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = []
+        original = percentiles._pick
+        percentiles._pick = lambda p, *a: placed.append(p.count()) or original(p, *a)
+        got = exact_percentiles(df, ["x"], [0.5]).collect()
+    finally:
+        percentiles._pick = original
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r["value"] for r in got] == [df.agg(F.percentile("x", 0.5)).first()[0]]
+    assert 0 < placed[0] < 53_334 / 40 * 2 * 2
 
 
 def test_value_ledger_types(spark):
