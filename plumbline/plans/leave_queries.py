@@ -301,7 +301,12 @@ def _(t: Inputs):
         rows.write.mode("append").parquet(f"{place}/raw")
         updates = t.spark.readStream.schema(raw.schema).parquet(f"{place}/raw")
         stream = ingest.merge_stream(
-            updates, f"{place}/log", f"{place}/checkpoint", "upi", lambda batch: leave.typed_time_off(batch, _LOADED)
+            updates,
+            f"{place}/table",
+            f"{place}/checkpoint",
+            "upi",
+            lambda batch: leave.typed_time_off(batch, _LOADED),
+            partition="time_off_date",
         )
         stream.awaitTermination()
-    return _as_double(ingest.merged_table(t.spark, f"{place}/log", "upi"))
+    return _as_double(ingest.merged_table(t.spark, f"{place}/table"))

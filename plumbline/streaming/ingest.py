@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from plumbline.operators.leave import latest_rows, newer_than
 from plumbline.sources.drops import (
     LEAVE,
     drop_name,
@@ -20,16 +18,18 @@ from plumbline.sources.drops import (
     read_drops,
     read_widened,
 )
+from plumbline.sources.snapshots import FOLD, merge_batch, snapshot, stream_source
 
 FILES = "path string, modificationTime timestamp, length bigint, content binary"  # fixed by Spark
 BATCH = "batch_id"
 REFUSED = "_refused"  # readers of the table pass over folders that begin so
+MAX_FILES = 10_000  # files of a micro-batch, whose names the driver holds
 
 
 def drop_stream(spark: SparkSession, drops: str) -> DataFrame:
     """Files below a folder as a stream, each once: ``path, file_type``; their content is not read."""
     reader = spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", "true")
-    return reader.load(drops).select("path", file_type(drop_name()).alias("file_type"))
+    return reader.option("maxFilesPerTrigger", MAX_FILES).load(drops).select("path", file_type(drop_name()).alias("file_type"))
 
 
 def ingest_stream(
@@ -43,7 +43,7 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Append all new drops of one kind, read by heading and normalised; ends when none is left.
 
-    The stream carries file names. Every micro-batch reads its files as :func:`read_drops` does and
+    The stream carries file names, MAX_FILES a micro-batch at most, however many wait. Every micro-batch reads its files as :func:`read_drops` does and
     becomes one partition of ``table``, which a repeated batch overwrites, so a restarted
     query appends each file exactly once. A file that lacks a required column is refused as a whole and
     listed by :func:`refused_files`; the others go on. Read the table with :func:`ingested_table`.
@@ -77,48 +77,33 @@ def refused_files(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(f"{table}/{REFUSED}")
 
 
-def _read_log(spark: SparkSession, log: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(log)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None  # no batch has been written yet
-
-
 def merge_stream(
     updates: DataFrame,
-    log: str,
+    table: str,
     checkpoint: str,
     keys: str | Sequence[str],
     stage: Callable[[DataFrame], DataFrame],
     order: str = "timestamp_unix",
     late: str = "drop",
+    partition: Column | str | None = None,
+    fold: int = FOLD,
 ) -> StreamingQuery:
-    """Merge a stream of updates by key.
+    """Merge a stream of updates by key into a versioned table; ends when nothing is left to read.
 
-    Every micro-batch is staged, reduced to its latest row per key and written as one
-    partition of ``log``; a repeated batch overwrites its own partition. Rows at or below the
-    highest ``order`` of earlier batches are dropped, or kept with ``late='upsert'``. Read
-    the merged table with :func:`merged_table`.
+    Every micro-batch is staged and merged by :func:`plumbline.sources.snapshots.merge_batch`, which knows the highest
+    ``order`` merged so far and the last batch of this stream from the table's version: no batch reads the history. Rows at or below
+    that mark are dropped, or merged with ``late='upsert'``. A repeated batch changes nothing. Read the table with :func:`merged_table`.
     """
     if late not in ("drop", "upsert"):
         raise ValueError("late is 'drop' or 'upsert'")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        staged = stage(batch)
-        if late == "drop":
-            earlier = _read_log(batch.sparkSession, log)
-            if earlier is not None:
-                earlier = earlier.filter(F.col(BATCH) < batch_id)
-            staged = newer_than(staged, earlier, order)
-        latest_rows(staged, keys, order).write.mode("overwrite").parquet(f"{log}/{BATCH}={batch_id}")
+        source = stream_source(batch, checkpoint)
+        merge_batch(stage(batch), table, keys, order, partition, late, source, batch_id, fold)
 
     return updates.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(apply).start()
 
 
-def merged_table(
-    spark: SparkSession, log: str, keys: str | Sequence[str], order: str = "timestamp_unix"
-) -> DataFrame:
+def merged_table(spark: SparkSession, table: str) -> DataFrame:
     """The latest row per key over all merged batches."""
-    return latest_rows(spark.read.parquet(log).drop(BATCH), keys, order)
+    return snapshot(spark, table)

@@ -218,14 +218,14 @@ def test_merge_stream(spark, tmp_path, late, expected):
 
     def run():
         updates = spark.readStream.schema(TO).parquet(source)
-        T.merge_stream(updates, str(tmp_path / "log"), str(tmp_path / "cp"), "upi", E.typed_time_off, late=late).awaitTermination()
+        T.merge_stream(updates, str(tmp_path / "table"), str(tmp_path / "cp"), "upi", E.typed_time_off, late=late).awaitTermination()
 
     time_off(spark, ("1", "2024-06-01", "8", "old", "10"), ("2", "2024-06-01", "8", "old", "20")).write.mode("append").parquet(source)
     run()
     time_off(spark, ("1", "2024-06-01", "8", "newest", "31"), ("2", "2024-06-01", "8", "late", "15"), ("3", "2024-06-02", "8", "late", "20")).write.mode("append").parquet(source)
     run()
     run()
-    assert rows(T.merged_table(spark, str(tmp_path / "log"), "upi"), "employee_id", "status") == expected
+    assert rows(T.merged_table(spark, str(tmp_path / "table")), "employee_id", "status") == expected
 
 
 def test_far_end_is_cut_to_the_calendar(spark):
