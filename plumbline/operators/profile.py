@@ -24,6 +24,8 @@ from plumbline.functions.columns import (
     zero_if_null,
 )
 from plumbline.functions.percentiles import exact_percentiles
+from plumbline.operators.samples import exact_sample
+from plumbline.session import stored
 
 # Declared type names per family, percentile metrics, date label formats.
 DECLARED = {
@@ -35,25 +37,6 @@ PERCENTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
 DATE_LABELS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "quarter": "yyyy-q", "year": "yyyy"}
 
 
-# ---------------------------------------------------------------- sampling
-
-
-def sample_rows(df: DataFrame, size: int, by: str | Sequence[str] | None = None, seed: int = 0) -> DataFrame:
-    """About ``size`` rows of the table, all of it if it is smaller.
-
-    With ``by``, a row is chosen by the hash of those columns, so the same rows are chosen on
-    every run and engine; otherwise by a seeded hash of the whole row (maps left out), so equal rows
-    are chosen together.
-    """
-    share = df.agg((F.lit(float(size)) / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("share")).scalar()
-    if by is None:
-        whole = [col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-        return df.filter(F.pmod(F.xxhash64(F.lit(seed), *whole), F.lit(2**32)).cast("double") / F.lit(float(2**32)) < share)
-    text = F.concat_ws("|", *[col(b).cast("string") for b in as_list(by)])
-    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
-    return df.filter(draw < share)
-
-
 # ---------------------------------------------------------------- dataset profile
 
 
@@ -140,12 +123,12 @@ def profile_dataset(
     """Long profile ``(data_type, column_name, metric, metric_value)`` of every column.
 
     One scan answers all plain metrics of all columns; distinct and most frequent values
-    share one value ledger; percentiles take a sketch and a counting pass. ``approx`` moves
+    share one value ledger; percentiles have one of their own. ``approx`` moves
     distincts and percentiles into the first scan. Columns of a nested type are reported as
-    ``other`` with their counts.
+    ``other`` with their counts. ``sample_size`` profiles min(sample_size, rows) rows, chosen as by ``exact_sample``.
     """
     if sample_size is not None:
-        df = sample_rows(df, sample_size, sample_by)
+        df = stored(exact_sample(df, sample_size, sample_by), "profile-sample")  # read more than once
     columns = list(columns or df.columns)
     kinds = {c: family(dtype_of(df, c)) for c in columns}
 
@@ -518,6 +501,5 @@ __all__ = [
     "incremental_counts",
     "profile_columns",
     "profile_dataset",
-    "sample_rows",
     "summarize",
 ]

@@ -8,6 +8,7 @@ from plumbline.plans.registry import ORACLES, QUERIES, Query
 def _load() -> None:
     from plumbline.plans import (  # noqa: F401
         compare_queries,
+        discovery_queries,
         leave_queries,
         lineage_queries,
         profile_queries,

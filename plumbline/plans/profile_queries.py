@@ -100,8 +100,7 @@ def _(t: Inputs):
 
 @query(
     "profile_dataset_sample",
-    """WITH chosen AS (SELECT * FROM {events_n} WHERE CAST(CAST('0x' || SUBSTR(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE)
-      / 4294967296.0 < (SELECT 2000.0 / COUNT(*) FROM {events_n})) SELECT * FROM ("""
+    "WITH chosen AS (SELECT * FROM {events_n} ORDER BY md5(CAST(event_id AS VARCHAR)) LIMIT 2000) SELECT * FROM ("
     + _profile(["value", "event_type", "flag"], "chosen")
     + ")",
 )

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from helpers import one, rows
+from helpers import one, plan, rows
 from pyspark.sql import functions as F
 
 from plumbline.functions import values as V
@@ -11,6 +11,7 @@ from plumbline.functions import percentiles
 from plumbline.functions.percentiles import exact_percentiles
 from plumbline.operators import drift as D
 from plumbline.operators import profile as P
+from plumbline.operators.samples import exact_sample, merged_samples
 
 
 def metrics(df):
@@ -54,12 +55,28 @@ def test_approx_profile_has_the_same_rows(spark):
 
 def test_sample(spark):
     df = spark.range(20000).toDF("id")
-    chosen = P.sample_rows(df, 1000, by="id")
-    assert 800 < chosen.count() < 1200
-    assert rows(chosen) == rows(P.sample_rows(df.repartition(7), 1000, by="id"))
-    assert P.sample_rows(df, 50000, by="id").count() == 20000
-    assert 800 < P.sample_rows(df, 1000).count() < 1200
-    assert P.sample_rows(df.filter("id < 0"), 10).count() == 0
+    chosen = exact_sample(df, 1000, by="id")
+    assert chosen.count() == 1000 and chosen.columns == ["id"]
+    assert rows(chosen) == rows(exact_sample(df.repartition(7), 1000, by="id"))
+    assert exact_sample(df, 50000, by="id").count() == 20000
+    assert exact_sample(df, 1000).count() == 1000
+    assert rows(exact_sample(df, 1000)) != rows(exact_sample(df, 1000, seed=1))
+    assert exact_sample(df.filter("id < 0"), 10).count() == 0
+    parts = [exact_sample(df.filter(f"id % 3 = {k}"), 1000, "id", keep_draw=True) for k in range(3)]
+    assert rows(merged_samples(parts, 1000)) == rows(chosen)
+    assert "TakeOrderedAndProject" in plan(chosen)
+
+
+def test_sample_of_every_group(spark):
+    df = spark.range(9000).selectExpr("id", "if(id % 3 = 0, 'hot', if(id % 1000 = 1, null, cast(id % 50 as string))) g", "map(1, id) m")
+    chosen = exact_sample(df, 7, groups="g")
+    sizes = {r["g"]: r["n"] for r in df.groupBy("g").agg(F.count("*").alias("n")).collect()}
+    assert {r["g"]: r["n"] for r in chosen.groupBy("g").agg(F.count("*").alias("n")).collect()} == {g: min(n, 7) for g, n in sizes.items()}
+    assert "WindowGroupLimit" in plan(chosen)
+    parts = [exact_sample(df.filter(f"id % 2 = {k}"), 7, groups="g", keep_draw=True) for k in range(2)]
+    assert rows(merged_samples(parts, 7, "g"), "id") == rows(chosen, "id")
+    same = spark.range(100).selectExpr("1 x")  # rows that nothing tells apart
+    assert exact_sample(same, 10).count() == 10
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 37])
