@@ -1,4 +1,4 @@
-"""Registered queries: checksum trees, relationships and keys found in data, stored sketches, exact samples."""
+"""Registered queries: checksum trees, relationships and keys found in data, stored sketches, exact samples, checked loads, footers, reach."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import checksum, keys, relationships, samples, sketches
+from plumbline.operators import checksum, keys, reach, relationships, samples, sketches
 from plumbline.plans.compare_queries import _row_compare
 from plumbline.plans.profile_queries import _AS_OF, _NUMBERS, _SPLIT, _START, _TEXTS, _drift_rows
 from plumbline.plans.registry import Inputs, query
 from plumbline.session import scratch_dir
+from plumbline.sources import metadata, publish
 
 # ---------------------------------------------------------------- checksum tree
 
@@ -174,3 +175,93 @@ def _(t: Inputs):
     halves = [t.orders.filter(f"o_orderkey % 2 = {k}") for k in (0, 1)]
     parts = [samples.exact_sample(h, 20, "o_orderkey", groups, keep_draw=True) for h in halves]
     return samples.merged_samples(parts, 20, groups).select(*groups, "o_orderkey")
+
+
+# ---------------------------------------------------------------- loads checked while they are written
+
+_LOAD_CHECKS = """SELECT 'not_null' AS check_name, 'o_orderstatus' AS column_name, (SELECT COUNT(*) FROM {orders_new} WHERE o_orderstatus IS NULL) AS n_failing
+  UNION ALL SELECT 'accepted_values', 'o_orderpriority', (SELECT COUNT(*) FROM {orders_new} WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW'))
+  UNION ALL SELECT 'relationship', 'o_custkey', (SELECT COUNT(*) FROM {orders_new} WHERE o_custkey NOT IN (SELECT c_custkey FROM {customer}))
+  UNION ALL SELECT 'condition', 'positive key', (SELECT COUNT(*) FROM {orders_new} WHERE NOT o_orderkey >= 0)
+  UNION ALL SELECT 'unique', 'o_custkey', (SELECT COUNT(*) FROM (SELECT o_custkey FROM good GROUP BY o_custkey HAVING COUNT(*) > 1))"""
+_GOOD = """good AS (SELECT * FROM {orders_new} WHERE o_orderstatus IS NOT NULL AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')
+  AND o_custkey IN (SELECT c_custkey FROM {customer}) AND o_orderkey >= 0)"""
+
+
+def _load(t: Inputs, df, table: str, allowed):
+    return publish.publish_checked(
+        df,
+        table,
+        not_null=["o_orderstatus"],
+        accepted={"o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]},
+        relationships={"o_custkey": (t.customer, "c_custkey")},
+        conditions={"positive key": F.col("o_orderkey") >= 0},
+        unique=["o_custkey"],
+        allowed=allowed,
+    )
+
+
+@query("publish_checked_report", f"WITH {_GOOD}, checks AS ({_LOAD_CHECKS}) SELECT *, n_failing = 0 AS passed FROM checks")
+def _(t: Inputs):
+    found = _load(t, t.orders_new, f"{scratch_dir(t.spark, 'published')}", None).report
+    return found.select("check_name", "column_name", "n_failing", "passed")
+
+
+@query("publish_checked", f"WITH {_GOOD} SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n, SUM(o_orderkey) AS keys FROM good GROUP BY 1, 2")
+def _(t: Inputs):
+    """A refused load of the old version, then an accepted one of the new version: its good rows are the table."""
+    table = scratch_dir(t.spark, "published")
+    many = 10**9
+    labels = ["not_null(o_orderstatus)", "accepted_values(o_orderpriority)", "relationship(o_custkey)", "condition(positive key)", "unique(o_custkey)"]
+    _load(t, t.orders_old, table, None)
+    _load(t, t.orders_new, table, dict.fromkeys(labels, many))
+    found = publish.published_table(t.spark, table)
+    return found.groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+# ---------------------------------------------------------------- footers
+
+
+def _footer(table: str) -> str:
+    parts = []
+    for i, (c, kind) in enumerate(_COLUMNS[table].items()):
+        # a footer may hold -0.0 for a least 0.0
+        bounds = [f"CAST({f}({c}) AS DOUBLE)" if kind in "if" else "CAST(NULL AS DOUBLE)" for f in ("MIN", "MAX")]
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, {i + 1} AS ordinal, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count, "
+            f"ROUND({bounds[0]}, 4) AS low, ROUND({bounds[1]}, 4) AS high FROM {{{table}}}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("footer_statistics", " UNION ALL ".join(_footer(t) for t in _COLUMNS))
+def _(t: Inputs):
+    found = metadata.footer_statistics(t.spark, {name: f"{t.sf_dir}/{name}.parquet" for name in _COLUMNS})
+    bounds = [(F.col(c).cast("double") + 0.0).alias(n) for c, n in (("min_value", "low"), ("max_value", "high"))]
+    return found.select("table_name", "column_name", "ordinal", "row_count", "null_count", *bounds)
+
+
+@query(
+    "footer_row_counts",
+    """SELECT 'orders' AS model_a, 'lineitem' AS model_b, a AS model_a_rows, b AS model_b_rows, b - a AS row_diff,
+      ROUND((b - a) * 100.0 / NULLIF(a, 0), 2) AS pct_diff FROM (SELECT (SELECT COUNT(*) FROM {orders}) AS a, (SELECT COUNT(*) FROM {lineitem}) AS b)""",
+)
+def _(t: Inputs):
+    paths = [f"{t.sf_dir}/{name}.parquet" for name in ("orders", "lineitem")]
+    return metadata.footer_row_counts(t.spark, *paths, ("orders", "lineitem"))
+
+
+# ---------------------------------------------------------------- reach
+
+
+@query(
+    "reach_counts",
+    """WITH RECURSIVE known AS (SELECT e.* FROM {edges} e JOIN {nodes} a ON a.node_id = e.upstream_id JOIN {nodes} b ON b.node_id = e.downstream_id),
+    walk AS (SELECT upstream_id AS a, downstream_id AS b FROM known UNION SELECT w.a, k.downstream_id FROM walk w JOIN known k ON k.upstream_id = w.b)
+    SELECT model_name, (SELECT COUNT(*) FROM walk WHERE b = n.node_id AND a <> b) AS upstream_models,
+      (SELECT COUNT(*) FROM walk WHERE a = n.node_id AND a <> b) AS downstream_models,
+      EXISTS (SELECT 1 FROM walk WHERE a = n.node_id AND b = n.node_id) AS in_cycle FROM {nodes} n""",
+)
+def _(t: Inputs):
+    """Exact up to 2 ** 16 reached models, more than this graph has."""
+    return reach.reach_counts(t.nodes, t.edges, entries=16)
