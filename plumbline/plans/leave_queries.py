@@ -310,3 +310,33 @@ def _(t: Inputs):
         )
         stream.awaitTermination()
     return _as_double(ingest.merged_table(t.spark, f"{place}/table"))
+
+
+@query(
+    "merge_stream_watermark",
+    f"""WITH raw AS ({_RAW_TO}), early AS (SELECT * FROM raw WHERE time_off_date < DATE '2024-01-16'),
+    merged AS (SELECT * FROM early UNION ALL
+      SELECT * FROM raw WHERE time_off_date >= DATE '2024-01-11' AND timestamp_unix > (SELECT MAX(timestamp_unix) - 1800 FROM early)),
+    """
+    + _latest("merged", "upi", _TO_REST, "latest")
+    + " SELECT * FROM latest",
+)
+def _(t: Inputs):
+    """The same deliveries by event time: rows of the second that are over half an hour behind the first are dropped."""
+    place = scratch_dir(t.spark, "merge-watermark")
+    raw = leave.typed_time_off(t.raw_time_off, _LOADED).withColumn("made_at", F.timestamp_seconds("timestamp_unix"))
+    for rows in (raw.filter("time_off_date < '2024-01-16'"), raw.filter("time_off_date >= '2024-01-11'")):
+        rows.write.mode("append").parquet(f"{place}/raw")
+        stream = ingest.merge_stream(
+            t.spark.readStream.schema(raw.schema).parquet(f"{place}/raw"),
+            f"{place}/table",
+            f"{place}/checkpoint",
+            "upi",
+            lambda batch: batch.drop("made_at"),
+            late="watermark",
+            partition="time_off_date",
+            event_time="made_at",
+            delay="30 minutes",
+        )
+        stream.awaitTermination()
+    return _as_double(ingest.merged_table(t.spark, f"{place}/table"))

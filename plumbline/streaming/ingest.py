@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from plumbline.functions.columns import as_list
 from plumbline.sources.drops import (
     LEAVE,
     drop_name,
@@ -87,19 +88,28 @@ def merge_stream(
     late: str = "drop",
     partition: Column | str | None = None,
     fold: int = FOLD,
+    event_time: str | None = None,
+    delay: str = "1 hour",
 ) -> StreamingQuery:
     """Merge a stream of updates by key into a versioned table; ends when nothing is left to read.
 
     Every micro-batch is staged and merged by :func:`plumbline.sources.snapshots.merge_batch`, which knows the highest
     ``order`` merged so far and the last batch of this stream from the table's version: no batch reads the history. Rows at or below
-    that mark are dropped, or merged with ``late='upsert'``. A repeated batch changes nothing. Read the table with :func:`merged_table`.
+    that mark are dropped, or merged with ``late='upsert'``. With ``late='watermark'`` lateness goes by the timestamp column ``event_time`` of the
+    updates: rows more than ``delay`` behind the latest of earlier batches are dropped by Spark's watermark, which its checkpoint keeps,
+    rows repeated within it (same keys and order) are dropped by its state store, which holds no more than ``delay`` of
+    keys, and all others are merged. A repeated batch changes nothing. Read the table with :func:`merged_table`.
     """
-    if late not in ("drop", "upsert"):
-        raise ValueError("late is 'drop' or 'upsert'")
+    if late not in ("drop", "upsert", "watermark"):
+        raise ValueError("late is 'drop', 'upsert' or 'watermark'")
+    if (late == "watermark") != (event_time is not None):
+        raise ValueError("late='watermark' and event_time go together")
+    if event_time is not None:
+        updates = updates.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([*as_list(keys), order])
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         source = stream_source(batch, checkpoint)
-        merge_batch(stage(batch), table, keys, order, partition, late, source, batch_id, fold)
+        merge_batch(stage(batch), table, keys, order, partition, "drop" if late == "drop" else "upsert", source, batch_id, fold)
 
     return updates.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(apply).start()
 

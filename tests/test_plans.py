@@ -81,7 +81,7 @@ def test_anti_joins(tables):
     assert "LeftAnti" in plan(compare.missing_key_sample(tables.orders, tables.env_dev, "o_orderkey"))
 
 
-NO_PRODUCT = [n for n in all_queries() if n not in ("ingest_stream", "merge_stream")]
+NO_PRODUCT = [n for n in all_queries() if n not in ("ingest_stream", "merge_stream", "merge_stream_watermark")]
 
 
 @pytest.mark.parametrize("name", NO_PRODUCT)
