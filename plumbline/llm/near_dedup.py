@@ -247,10 +247,19 @@ def _tiles(threshold: int, nearest: int | None):
 
 
 def _likely_in_tiles(rest: DataFrame, classes: DataFrame, sets: DataFrame, threshold: int, nearest: int | None) -> DataFrame:
-    """Likely pairs (a, b) between components among the members (bucket, band, cls, root) of split buckets."""
-    slices = F.ceil(F.col("size") / TILE)
-    own = F.pmod(F.xxhash64("cls"), slices)
-    rows = rest.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
+    """Likely pairs (a, b) between components among the members (bucket, cls, band, root, size, top, top_size) of split buckets.
+
+    A bucket of up to TILE members is one tile. In a larger one, members of its largest component ``top`` are not compared with each other: they meet
+    the slices of the other members, which meet all slices. So one component of many members costs a row of each, for as many tiles as the
+    others fill, and only members that belong to no common component are sent in proportion to their number of slices.
+    """
+    small, at_top = F.col("size") <= TILE, F.col("root") == F.col("top")
+    others = F.ceil((F.col("size") - F.col("top_size")) / TILE)  # slices of the members outside the largest component
+    slices = others + F.ceil(F.col("top_size") / TILE)
+    drawn = F.xxhash64("cls")
+    own = F.when(small, 0).when(at_top, others + F.pmod(drawn, slices - others)).otherwise(F.pmod(drawn, others))
+    last = F.when(small, 0).when(at_top, others - 1).otherwise(slices - 1)
+    rows = rest.withColumn("own", own.cast("bigint")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))))
     sketch = classes.select("cls", "regs").join(sets.select("cls", "n", "estimating"), "cls")
     rows = rows.join(sketch, "cls").select(
         "bucket", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
@@ -300,8 +309,10 @@ def near_duplicates(
         roots = components(links)
         # the only pair of a bucket of two has met
         placed = members.where("size > 2").join(roots.toDF("cls", "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        split = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        rest = stored(placed.join(split.select("bucket"), "bucket"), "rest")
+        counted = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+        split = counted.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1")
+        split = split.select("bucket", F.col("most.root").alias("top"), F.col("most.n").alias("top_size"))
+        rest = stored(placed.join(split, "bucket"), "rest")
         if rest.isEmpty():
             break
         more = _likely_in_tiles(rest, classes, sets, threshold, nearest)
