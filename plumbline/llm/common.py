@@ -44,6 +44,18 @@ def fingerprint(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like the wanted ones that ``df`` does not have in any case."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive slices of about ``limit`` bytes; a longer text is a slice of its own."""
     if isinstance(texts, pa.ChunkedArray):

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plumbline.llm.common import SMALL_SIDE_ROWS, fingerprint, small_or_shuffled, stored
+from plumbline.llm.common import SMALL_SIDE_ROWS, fingerprint, free_names, small_or_shuffled, stored
 
 WINDOW = 8  # template tokens
 LITERALS = 5  # of them no placeholders, at least; a window of fewer is met by its exact tokens only
 OVERLAP = 13  # tokens of an overlap that counts
+SHORTEST = 3  # tokens of the shortest item that is looked for
 
 NUMBER, UNIT, NAME = -1, -2, -3  # in place of a literal's hash
 
@@ -74,6 +75,33 @@ def _windows(codes: Column, size: int) -> Column:
     return F.when(F.size(codes) >= size, hashes)
 
 
+def _item_windows(items: DataFrame, window: int) -> DataFrame:
+    """(item_id, item_tag, item_tokens, item_at, form, hash) of all windows of items.
+
+    Form 0 is a template, any other the size of a window of exact tokens. The first token is a literal here; behind another word it would be a
+    name if it has a capital, and a unit behind a number, so the first window has a second row with that placeholder.
+    """
+    first = F.regexp_replace(F.get("item_toks", F.lit(0)), _LEAD, "")
+    initial = F.substring(first, 1, 1)
+    as_name = (initial != F.lower(initial)) & (first != F.upper(first))
+    other = F.when(as_name, F.lit(NAME)).when(F.lower(first).isin(*UNITS), F.lit(UNIT)).cast("bigint")
+    rest = F.slice("codes", F.lit(2), F.size("codes"))
+    renamed = items.withColumn("codes", F.concat(F.array(other), rest)).where(other.isNotNull())
+
+    def listed(some: DataFrame, only_first: bool) -> DataFrame:
+        size = F.least(F.lit(window), F.col("item_tokens"))
+        last = F.lit(0) if only_first else F.col("item_tokens") - size
+        some = some.select("*", size.alias("size"), F.explode(F.sequence(F.lit(0), last)).alias("item_at"))
+        codes = F.slice("codes", F.col("item_at") + 1, F.col("size"))
+        literals = F.size(F.filter(codes, lambda c: ~c.isin(NUMBER, UNIT, NAME)))
+        thin = (F.col("size") < window) | (literals < min(LITERALS, window))
+        exact = F.slice(_exact(F.col("item_toks")), F.col("item_at") + 1, F.col("size"))
+        hashed = F.when(thin, F.xxhash64(exact)).otherwise(F.xxhash64(codes))
+        return some.select("item_id", "item_tag", "item_tokens", "item_at", F.when(thin, F.col("size")).otherwise(0).alias("form"), hashed.alias("hash"))
+
+    return listed(items, False).union(listed(renamed, True)).distinct()
+
+
 def leaked_items(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -84,38 +112,42 @@ def leaked_items(
 ) -> DataFrame:
     """(id, tag, item_id, doc_start, item_start, n_tokens, item_tokens, n_slots, same_values) of overlaps of documents with benchmark items.
 
-    Windows of fewer than LITERALS literals meet by their tokens in lower case, all others by their template.
+    Windows of fewer than LITERALS literals meet by their tokens in lower case, all others by their template. What the first token of an item is
+    depends on the text before it, so its first window is looked for in every form the token may have there: no word-for-word copy is missed.
     One row per document, item and diagonal; starts and lengths in template tokens. ``tag`` is a fingerprint of the text, which with the id
-    tells rows apart; repeated rows share their rows here. Items (item_id, text) of fewer than ``overlap`` tokens count when covered whole, those of fewer than
-    ``window`` tokens, null or empty ones never. Items that share an item_id are one item per text. Null ids are kept as such.
+    tells rows apart; repeated rows share their rows here. Items (item_id, text) of fewer than ``overlap`` tokens count when covered whole; one of fewer than
+    ``window`` tokens is one window, met by its tokens in lower case. Items of fewer than SHORTEST tokens, null and empty ones are never found. A very
+    long text is cut into its windows by one task. Items that share an item_id are one item per text. Null ids are kept as such.
     """
     given = docs.select(F.col(f"`{doc_id}`").alias("id"), fingerprint(F.col(f"`{text}`")).alias("tag"), F.col(f"`{text}`").alias("text"))
     items = benchmark.select("item_id", fingerprint(F.col("text")).alias("item_tag"), tokens(F.col("text")).alias("item_toks")).distinct()
-    items = stored(items.withColumn("codes", template(F.col("item_toks"))).withColumn("item_tokens", F.size("codes")), "items")
-    both = F.arrays_zip(_windows(F.col("codes"), window).alias("of_template"), _windows(_exact(F.col("item_toks")), window).alias("of_tokens"))
-    known = items.select("item_id", "item_tag", "item_tokens", F.posexplode(both).alias("item_at", "w"), "codes")
-    literal = F.size(F.filter(F.slice(F.col("codes"), F.col("item_at") + 1, window), lambda c: ~c.isin(NUMBER, UNIT, NAME)))
-    known = known.withColumn("thin", literal < min(LITERALS, window))
-    known = known.withColumn("hash", F.when(F.col("thin"), F.col("w.of_tokens")).otherwise(F.col("w.of_template"))).drop("codes", "w")
-    known = stored(known, "item-windows")
-    any_thin = not known.where("thin").isEmpty()
+    items = items.withColumn("codes", template(F.col("item_toks"))).withColumn("item_tokens", F.size("codes"))
+    items = stored(items.where(F.col("item_tokens") >= SHORTEST), "items")
+    known = stored(_item_windows(items, window), "item-windows")
+    exact_sizes = sorted(r["form"] for r in known.where("form > 0").select("form").distinct().collect())  # at most ``window`` numbers
     side = F.broadcast(known) if known.count() <= SMALL_SIDE_ROWS else known
 
+    least = min([*exact_sizes, window])
+    seen = given.select("id", "tag", tokens(F.col("text")).alias("toks")).where(F.size("toks") >= least)
     codes = template(F.col("toks"))
-    seen = given.select("id", "tag", tokens(F.col("text")).alias("toks")).where(F.size("toks") >= window)
-    seen = seen.select("id", "tag", codes.alias("codes"), *([_exact(F.col("toks")).alias("exact")] if any_thin else []))
-
-    def placed(hashed: str, thin: bool) -> Column:
-        return F.transform(_windows(F.col(hashed), window), lambda h, i: F.struct(F.lit(thin).alias("thin"), i.alias("at"), h.alias("hash")))
-
-    windows = F.concat(placed("codes", False), placed("exact", True)) if any_thin else placed("codes", False)
-    seen = seen.select("id", "tag", F.explode(windows).alias("w")).select("id", "tag", "w.thin", "w.at", "w.hash")
-    met = seen.join(side, ["thin", "hash"])
+    seen = seen.select("id", "tag", codes.alias("codes"), *([_exact(F.col("toks")).alias("exact")] if exact_sizes else []))
+
+    def placed(hashed: str, form: int) -> Column:
+        hashes = _windows(F.col(hashed), form or window)
+        found = F.transform(hashes, lambda h, i: F.struct(F.lit(form).alias("form"), i.alias("at"), h.alias("hash")))
+        return F.coalesce(found, F.array().cast("array<struct<form:int,at:int,hash:bigint>>"))
+
+    windows = placed("codes", 0)
+    if exact_sizes:
+        windows = F.concat(windows, *[placed("exact", k) for k in exact_sizes])
+    seen = seen.select("id", "tag", F.explode(windows).alias("w")).select("id", "tag", "w.form", "w.at", "w.hash")
+    met = seen.join(side, ["form", "hash"])
     overlaps = met.groupBy("id", "tag", "item_id", "item_tag", "item_tokens", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.array_sort(F.collect_set("item_at")).alias("ats")  # at most one entry per token of the item
     )
+    reach = F.least(F.lit(window), F.col("item_tokens"))
     gaps = F.transform(
-        F.col("ats"), lambda a, i: F.least(F.lit(window), F.coalesce(F.get(F.col("ats"), i + 1) - a, F.lit(window)))
+        F.col("ats"), lambda a, i: F.least(reach, F.coalesce(F.get(F.col("ats"), i + 1) - a, reach))
     )
     overlaps = overlaps.withColumn("n_tokens", F.aggregate(gaps, F.lit(0), lambda x, g: x + g))
     overlaps = stored(overlaps.where(F.col("n_tokens") >= F.least(F.lit(overlap), F.col("item_tokens"))), "overlaps")
@@ -158,6 +190,7 @@ def leaked_items(
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
     """The rows of ``docs`` that overlap with no benchmark item, all columns as they were."""
     leaks = leaked_items(docs, benchmark, doc_id=doc_id, text=text, **options)
-    leaks = stored(leaks.select(F.col(f"`{doc_id}`").alias("_leaked_id"), F.col("tag").alias("_leaked_tag")).distinct(), "leaked")
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("_leaked_id")) & (fingerprint(F.col(f"`{text}`")) == F.col("_leaked_tag"))
+    of_id, of_tag = free_names(docs, "_leaked_id", "_leaked_tag")
+    leaks = stored(leaks.select(F.col(f"`{doc_id}`").alias(of_id), F.col("tag").alias(of_tag)).distinct(), "leaked")
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col(of_id)) & (fingerprint(F.col(f"`{text}`")) == F.col(of_tag))
     return docs.join(small_or_shuffled(leaks), same, "left_anti")
