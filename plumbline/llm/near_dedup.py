@@ -270,7 +270,7 @@ def _likely_in_tiles(rest: DataFrame, classes: DataFrame, sets: DataFrame, thres
 
 
 def near_duplicates(
-    docs: DataFrame, size: int = 5, threshold: int = 80, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, size: int = 5, threshold: int = 80, doc_id: str = "doc_id", text: str = "text", keep_tag: bool = False
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row; ``threshold`` is a similarity in percent.
 
@@ -278,7 +278,9 @@ def near_duplicates(
     lower-cased, words between ASCII white space). A null or wordless text has an empty set and links
     with nothing. ``component_id`` is the smallest id reachable; a component without any non-null id has
     null. ``kept`` says whether the row has that id. Repeated rows are one class; rows that share an id but not
-    the text are documents of their own. Other columns of ``docs`` are not read.
+    the text are documents of their own. Other columns of ``docs`` are not read. ``keep_tag`` adds a fingerprint ``tag`` of the text, which with the
+    id tells documents apart, and ``chosen``: true for one document of each component (that of the smallest id and then tag, null ids
+    last, all its repeated rows) and for texts without words. A very long text is a set like any other, made by one task.
     """
     id_type = docs.schema[doc_id].dataType.simpleString()
     given = docs.select(F.col(f"`{doc_id}`").alias("id"), fingerprint(F.col(f"`{text}`")).alias("fp"), F.col(f"`{text}`").alias("text"))
@@ -322,17 +324,20 @@ def near_duplicates(
     else:
         roots = components(links)
 
-    joined = classes.select("cls", "id").join(roots.toDF("cls", "root"), "cls", "left")
+    joined = classes.select("cls", "id", "fp").join(roots.toDF("cls", "root"), "cls", "left")
     joined = joined.withColumn("root", F.coalesce("root", "cls"))
-    smallest = joined.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_class = joined.join(smallest, "root").select("cls", "component_id")
-    result = sketches.select("id", "cls", "n").join(of_class, "cls", "left")
+    first = F.min(F.struct(F.isnull("id").alias("last"), "id", "fp")).alias("first")
+    smallest = joined.groupBy("root").agg(first).select("root", F.col("first.id").alias("component_id"), F.col("first.fp").alias("first_fp"))
+    of_class = joined.join(smallest, "root").select("cls", "component_id", "first_fp")
+    result = sketches.select("id", "fp", "cls", "n").join(of_class, "cls", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
+    chosen = (F.col("n") == 0) | (F.col("id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("first_fp")))
     return result.select(
         F.col("id").alias(doc_id),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"),
+        *([F.col("fp").alias("tag"), chosen.alias("chosen")] if keep_tag else []),
     )
 
 
