@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm.common import fingerprint, stored, table
+from plumbline.llm.common import fingerprint, free_names, stored, table
 from plumbline.llm.decontamination import without_leaks
 from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.packing import packed
@@ -19,18 +19,35 @@ from plumbline.llm.toxicity import toxic_passages
 TRAIN = "crc32(cast(id as string)) % 5 <> 0"
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Documents but those whose id and fingerprint are listed in (doc_id, tag)."""
+    of_id, of_tag = free_names(docs, "_gone_id", "_gone_tag")
+    gone = stored(gone.select(F.col("doc_id").alias(of_id), F.col("tag").alias(of_tag)).distinct(), "gone")
+    same = F.col("doc_id").eqNullSafe(F.col(of_id)) & (fingerprint(F.col("text")) == F.col(of_tag))
+    return docs.join(gone.hint("shuffle_hash"), same, "left_anti")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted to be toxic; rows that share an id and the text share the prediction."""
-    found = toxic_passages(docs, table(spark, sf_dir, "labels"), F.expr(TRAIN), keep_tag=True).where("predicted = 1")
-    found = stored(found.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).distinct(), "toxic")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (fingerprint(F.col("text")) == F.col("_tag"))
-    return docs.join(found.hint("shuffle_hash"), same, "left_anti")
+    found = toxic_passages(docs, table(spark, sf_dir, "labels"), F.expr(TRAIN), keep_tag=True)
+    return _without(docs, found.where("predicted = 1"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id; texts without words all stay."""
-    gone = near_duplicates(docs, size=5, threshold=80).where("not kept and n_shingles > 0 and doc_id is not null")
-    return docs.join(gone.select("doc_id").distinct().hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near duplicates, that of the smallest id; texts without words all stay.
+
+    Rows that share an id but not the text are documents of their own, rows that share both are one document, of which one row stays.
+    """
+    found = stored(near_duplicates(docs, size=5, threshold=80, keep_tag=True), "near-duplicates")
+    left = _without(docs, found.where("not chosen")).select(*docs.columns)
+    again = found.where("chosen and n_shingles > 0").groupBy("doc_id", "tag").agg(F.count("*").alias("n")).where("n > 1")
+    if again.isEmpty():
+        return left
+    of_id, of_tag = free_names(docs, "_again_id", "_again_tag")
+    again = stored(again.select(F.col("doc_id").alias(of_id), F.col("tag").alias(of_tag)), "repeated")
+    same = F.col("doc_id").eqNullSafe(F.col(of_id)) & (fingerprint(F.col("text")) == F.col(of_tag))
+    once = left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(again, same, "left_anti").unionByName(once)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +74,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: SQL cannot express the learnt model, the tokenizer and the curve; tests/llm holds a brute-force version
+#: SQL cannot express the learnt model, the tokenizer and the curve; tests/llm holds plain loops for the stages
 ORACLE_SQL = None
 
 
