@@ -19,14 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and no longer lost with an executor.
 
     The folder stays until whoever owns ``spark.checkpoint.dir`` clears it, since the result
     of an operator is lazy and may still read it.
     """
     path = scratch_dir(df.sparkSession, purpose)
-    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    writer = df.write.option("parquet.block.size", ROW_GROUP_BYTES)
+    writer.parquet(path, compression=codec)  # the session's codec if none is given
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

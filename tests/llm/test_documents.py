@@ -14,6 +14,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from plumbline.llm import lm_scoring
 from plumbline.llm.decontamination import leaked_items, without_leaks
 from plumbline.llm.licenses import license_scan
 from plumbline.llm.license_rules import GATES, rules
@@ -280,6 +281,29 @@ def test_long_unknown_words_cost_their_whole_spelling(odd):
     assert all(got[i]["bits_per_byte"] > 3 for i in (93, 100)) and got[100]["score"] < 9 * got[93]["score"]
 
 
+def test_scores_do_not_depend_on_chunks(odd, plain_odd_rows, monkeypatch):
+    texts = [*plain_odd_rows, *((40 + k, " ".join(sentences(k, 3))) for k in range(30))]
+
+    def told():
+        return sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["per_byte"], round(r["base_score"], 6), round(r["score"], 2)) for r in found.collect())
+
+    found = lm_scores(odd(texts), F.col("id") % 7 != 2).withColumn("per_byte", F.round("bits_per_byte", 2))
+    whole = told()
+    monkeypatch.setattr(lm_scoring, "CHUNK", 1)  # a chunk for each slice of texts
+    monkeypatch.setattr(lm_scoring, "WORD_ROWS", 3)
+    found = lm_scores(odd(texts).repartition(5), F.col("id") % 7 != 2).withColumn("per_byte", F.round("bits_per_byte", 2))
+    assert told() == whole
+
+
+@pytest.mark.parametrize("most", [0, 255, 256, 70_000, 1 << 24])
+def test_places_of_words_come_back(most):
+    given = np.array([0, most, most // 2, 0], np.uint32)
+    width = max(1, (most.bit_length() + 7) // 8)
+    assert len(lm_scoring._planes(given, width)) == 4 * width
+    assert (lm_scoring._places(pa.py_buffer(lm_scoring._planes(given, width)), 4) == given).all()
+    assert len(lm_scoring._places(pa.py_buffer(b""), 0)) == 0
+
+
 def test_contexts_of_very_many_words_keep_their_odds(spark):
     letter = F.when(F.col("id") % 10 < 7, F.lit("a")).otherwise(F.lit("5"))
     model = fit(spark.range(300_000).select(F.concat(letter, F.col("id").cast("string")).alias("word")), 300_000)
