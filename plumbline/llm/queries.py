@@ -15,11 +15,12 @@ from plumbline.llm.line_dedup import without_repeated_lines
 from plumbline.llm.lm_scoring import lm_scores
 from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.packing import packed
-from plumbline.llm.sharding import first_map, grown_map, sharded
+from plumbline.llm.sharding import first_map, grown_map, sharded, store_map, stored_map
 from plumbline.llm.source_audit import source_divergences
 from plumbline.llm.substring_dedup import without_repeated_spans
 from plumbline.llm.toxicity import toxic_passages
 from plumbline.llm.warc import archived
+from plumbline.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,8 +54,10 @@ SHARDS = 40
 
 @_query
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slot_map = first_map(spark, SHARDS)
-    found = sharded(table(spark, sf_dir, "documents"), slot_map, grown_map(slot_map))
+    maps = scratch_dir(spark, "slot-maps")
+    slot_map = store_map(first_map(spark, SHARDS), maps)
+    grown = store_map(grown_map(stored_map(spark, maps)), maps)
+    found = sharded(table(spark, sf_dir, "documents"), slot_map, grown)
     names = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot", "slot_bytes")
     return found.withColumn("law", F.lit("key")).select(*names)
 

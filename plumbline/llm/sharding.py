@@ -1,7 +1,7 @@
 """Sharding by fixed virtual slots: keys hash to slots for good, and only the map from slots to shards changes.
 
-A map is a small versioned table (version, virtual_slot, shard) of a row per slot. Growing by a shard, or evening out
-bytes, writes a new version in which few slots have moved. DataFrame functions only.
+A map is a small versioned table (version, virtual_slot, shard) of a row per slot, kept as Parquet by version. Growing by a shard, or
+evening out bytes, makes a new version in which few slots have moved. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -26,6 +26,22 @@ def first_map(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame
     return _map(spark, [slot % shards for slot in range(slots)], 1)
 
 
+def store_map(slot_map: DataFrame, folder: str) -> DataFrame:
+    """Write a map beside the earlier versions in ``folder`` and give it back as it was stored; a version that is there is refused."""
+    version = slot_map.first()["version"]
+    slot_map.select("virtual_slot", "shard").coalesce(1).write.mode("error").parquet(f"{folder}/version={version}")
+    return stored_map(slot_map.sparkSession, folder, version)
+
+
+def stored_map(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
+    """The stored map of a version, the latest if none is given; ValueError if it is not there."""
+    maps = spark.read.schema("virtual_slot int, shard int, version int").parquet(folder)
+    latest = maps.where(F.lit(True) if version is None else F.col("version") == version).agg(F.max("version")).first()[0]
+    if latest is None:
+        raise ValueError(f"no slot map {version or ''} in {folder}")
+    return maps.where(F.col("version") == latest).select("version", "virtual_slot", "shard")
+
+
 def _shards(slot_map: DataFrame) -> tuple[int, list[int]]:
     rows = slot_map.orderBy("virtual_slot").collect()  # a row per slot
     return rows[0]["version"], [r["shard"] for r in rows]

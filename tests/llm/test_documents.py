@@ -22,7 +22,7 @@ from plumbline.llm.lm_scoring import bits_of, fit, lm_scores, segments
 from plumbline.llm.near_dedup import likeliest, near_duplicates, registers
 from plumbline.llm.packing import WordEncoder, hilbert_key, packed
 from plumbline.llm.queries import word_tokenizer
-from plumbline.llm.sharding import first_map, grown_map, rebalanced_map, sharded, slot_loads
+from plumbline.llm.sharding import first_map, grown_map, rebalanced_map, sharded, slot_loads, store_map, stored_map
 from plumbline.llm.substring_dedup import find_runs, without_repeated_spans
 from plumbline.llm.toxicity import maximal_segments, toxic_passages
 from plumbline.llm.words import chain, find_words, mix, shingles
@@ -374,3 +374,19 @@ def test_all_eleven_are_registered(keys):
 
     names = set(__spark_entry__.queries())
     assert keys <= names and {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{k}" for k in range(1, 11)}
+
+
+def test_slot_maps_are_kept_by_version(spark, odd, tmp_path):
+    folder = str(tmp_path / "maps")
+    first = store_map(first_map(spark, 8, 512), folder)
+    store_map(grown_map(stored_map(spark, folder)), folder)
+    loads = spark.createDataFrame([(k, 1 + k % 97) for k in range(512)], "virtual_slot int, size long")
+    store_map(rebalanced_map(stored_map(spark, folder), slot_loads(loads)), folder)
+    shards = {v: [r["shard"] for r in stored_map(spark, folder, v).orderBy("virtual_slot").collect()] for v in (1, 2, 3)}
+    assert shards[1] == [k % 8 for k in range(512)] and set(shards[2]) == set(shards[3]) == set(range(9))
+    assert stored_map(spark, folder).first()["version"] == 3 and first.count() == 512
+    assert shards[2] == [r["shard"] for r in grown_map(first).orderBy("virtual_slot").collect()]
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        store_map(first_map(spark, 4, 512), folder)
+    with pytest.raises(ValueError, match="no slot map 9"):
+        stored_map(spark, folder, 9)
