@@ -1,7 +1,8 @@
 """Substring dedup by sliding sentence spans.
 
 Every run of several consecutive sentences is hashed and counted over all documents; sentences covered by a run that
-occurs earlier, in a smaller document id or before in the same text, are removed.
+occurs earlier, in a smaller document id or before in the same text, are removed. A second grid of runs takes no notice of
+sentences: it is cut where the words' own hashes say so, so that passages copied from the middle of sentences meet too.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ RUN = 3  # sentences of a run, at least
 RUN_WORDS = 8  # words of a run, at least
 LONGEST = 12  # words of a sentence that is not cut
 CLAUSE = 10  # mean words of a part of a longer one
+GRID_WORDS = 20  # words of a run of the second grid, at least
+GRID_AHEAD = 12  # a run of it begins at a word whose hash is the least of itself and so many words behind it
 
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
@@ -31,12 +34,13 @@ _STEPS = (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93)  # odd multipliers of two inde
 class Runs(NamedTuple):
     cut: np.ndarray  # first word of each sentence, and behind the last
     first: np.ndarray  # number of sentences before each text, and of all
-    begin: np.ndarray  # first sentence of each run
-    end: np.ndarray  # sentence behind each run
+    begin: np.ndarray  # first word of each run
+    end: np.ndarray  # word behind each run
     text: np.ndarray  # text of each run
     key: np.ndarray  # hash of each run
     check: np.ndarray  # second, shorter hash
-    again: np.ndarray  # whether the run occurs earlier in its text
+    fresh: np.ndarray  # whether the run is the first of its text with that key
+    again: np.ndarray  # whether the run repeats an earlier one of its text
 
 
 def _sentence_cuts(words: Words) -> np.ndarray:
@@ -73,16 +77,38 @@ def _span_hashes(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, step: int) ->
     return mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
 
 
+def _grid_runs(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(first words, words behind) of the second grid's runs, whatever the sentences.
+
+    Parts end before a word whose hash is less than its neighbours'; a run is the parts from its first word on that hold
+    GRID_WORDS words. Where it begins and ends depends on its own words and on one beside it, so any place of a copied passage
+    is cut alike but for its edges.
+    """
+    h, n = words.hashes, len(words.starts)
+    least = np.ones(n, bool)
+    for k in range(1, min(GRID_AHEAD, n - 1) + 1):
+        least[:-k] &= h[:-k] <= h[k:]
+    behind = np.repeat(words.first[1:], np.diff(words.first))
+    begin = np.flatnonzero(least & (np.arange(n) + GRID_WORDS <= behind))
+    part = np.zeros(n + 1, bool)
+    part[begin] = True
+    part[1 : n - 1] |= (h[1:-1] < h[:-2]) & (h[1:-1] <= h[2:])
+    part[words.first] = True
+    part = np.flatnonzero(part)
+    return begin, part[np.searchsorted(part, begin + GRID_WORDS)]
+
+
 def find_runs(texts: pa.Array, run: int = RUN, run_words: int = RUN_WORDS) -> tuple[Words, Runs]:
-    """The shortest run of at least ``run`` sentences and ``run_words`` words from every sentence on.
+    """The shortest run of at least ``run`` sentences and ``run_words`` words from every sentence on, and the second grid's runs.
 
-    A text too short for any such run is one run if it has ``run_words`` words.
+    A text too short for any such run of sentences is one run if it has ``run_words`` words. A run of the second grid counts as
+    repeated in its text only where it begins behind the first one's end.
     """
     words = find_words(texts)
     n = len(words.starts)
     none = np.zeros(0, np.int64)
     if n == 0:
-        return words, Runs(np.zeros(1, np.int64), np.zeros(len(texts) + 1, np.int64), none, none, none, none, none, none > 0)
+        return words, Runs(np.zeros(1, np.int64), np.zeros(len(texts) + 1, np.int64), none, none, none, none, none, none > 0, none > 0)
     cut = np.append(_sentence_cuts(words), n)
     first = np.searchsorted(cut, words.first)
     m = len(cut) - 1
@@ -97,13 +123,20 @@ def find_runs(texts: pa.Array, run: int = RUN, run_words: int = RUN_WORDS) -> tu
         short = whole[~has[whole]]
         fits[first[short]] = True
         end[first[short]] = first[short + 1]
-    begin, end, text = begin[fits], end[fits], text[fits]
-    key, check = (_span_hashes(words.hashes, cut[begin], cut[end], s) for s in _STEPS)
+    grid_begin, grid_end = _grid_runs(words)
+    free = np.repeat([False, True], [int(fits.sum()), len(grid_begin)])  # of the second grid
+    begin, end = np.concatenate((cut[begin[fits]], grid_begin)), np.concatenate((cut[end[fits]], grid_end))
+    text = np.concatenate((text[fits], np.searchsorted(words.first, grid_begin, side="right") - 1))
+    # equal words are other keys in the other grid
+    key, check = (np.where(free, mix(k), k) for k in (_span_hashes(words.hashes, begin, end, s) for s in _STEPS))
     order = np.lexsort((begin, key, text))
-    again = np.zeros(len(key), bool)
-    again[order[1:]] = (key[order[1:]] == key[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
+    begin, end, text, key, check, free = (x[order] for x in (begin, end, text, key, check, free))
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
+    original = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    again = ~fresh & (~free | (begin >= end[original]))
     check = (check >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    return words, Runs(cut, first, begin, end, text, key.view(np.int64), check, again)
+    return words, Runs(cut, first, begin, end, text, key.view(np.int64), check, fresh, again)
 
 
 def _runs_of(run: int, run_words: int):
@@ -111,7 +144,7 @@ def _runs_of(run: int, run_words: int):
         for batch in batches:
             for begin, texts in text_chunks(batch.column(2)):
                 _, found = find_runs(texts, run, run_words)
-                fresh = ~found.again
+                fresh = found.fresh
                 rows = pa.array(found.text[fresh] + begin)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.key[fresh]), pa.array(found.check[fresh]), batch.column(0).take(rows), batch.column(1).take(rows)],
@@ -135,22 +168,25 @@ def _without_marked(run: int, run_words: int):
                 for i in np.flatnonzero(listed.is_valid().to_numpy(zero_copy_only=False)):
                     a, b = of_text[i], of_text[i + 1]
                     marked[a:b] |= np.isin(found.key[a:b], listed[int(i)].values.to_numpy())
-                change = np.zeros(len(found.cut), np.int64)
+                change = np.zeros(len(words.starts) + 1, np.int64)
                 np.add.at(change, found.begin[marked], 1)
                 np.add.at(change, found.end[marked], -1)
-                gone = np.cumsum(change)[:-1] > 0
-                before = np.concatenate(([0], np.cumsum(gone)))
+                gone = np.cumsum(change) > 0  # by word
+                touched = np.logical_or.reduceat(gone[:-1], found.cut[:-1]) if len(words.starts) else np.zeros(0, bool)
+                before = np.concatenate(([0], np.cumsum(touched)))
                 removed = before[found.first[1:]] - before[found.first[:-1]]
+                turns = np.flatnonzero(gone[1:] != gone[:-1]) + 1
                 left = given.slice(at, len(texts))
                 if removed.any():
                     left = left.to_pylist()
                     offsets = np.concatenate(([0], np.cumsum(pa.compute.binary_length(texts).to_numpy())))
                     for i in np.flatnonzero(removed):
                         raw = left[i].encode()
-                        a, b = found.first[i], found.first[i + 1]
-                        edges = np.append(words.starts[found.cut[a:b]] - offsets[i], len(raw))
+                        a, b = words.first[i], words.first[i + 1]
+                        at_words = np.concatenate(([a], turns[np.searchsorted(turns, a + 1) : np.searchsorted(turns, b)]))
+                        edges = np.append(words.starts[at_words] - offsets[i], len(raw))
                         parts = [raw[: edges[0]]]
-                        parts += [raw[edges[k] : edges[k + 1]] for k in range(b - a) if not gone[a + k]]
+                        parts += [raw[edges[k] : edges[k + 1]] for k, g in enumerate(gone[at_words]) if not g]
                         left[i] = b"".join(parts).decode()
                     left = pa.array(left, pa.string())
                 yield pa.RecordBatch.from_arrays(
@@ -164,7 +200,7 @@ def _without_marked(run: int, run_words: int):
 def without_repeated_spans(
     docs: DataFrame, run: int = RUN, run_words: int = RUN_WORDS, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``docs`` with the text left after removal, and n_sentences, n_removed (sentences) as longs.
+    """``docs`` with the text left after removal, and n_sentences, n_removed (sentences that lost words) as longs.
 
     Words are compared with A-Z lower-cased, whatever white space stands between them. The
     occurrence in the smallest id stays; within one text, the first. Rows without an id come after all others, by a

@@ -390,3 +390,26 @@ def test_slot_maps_are_kept_by_version(spark, odd, tmp_path):
         store_map(first_map(spark, 4, 512), folder)
     with pytest.raises(ValueError, match="no slot map 9"):
         stored_map(spark, folder, 9)
+
+
+def test_passages_begun_in_the_middle_of_sentences_meet():
+    """51 words copied from anywhere, with and without sentence ends: fewer than 2 % share no run."""
+    draw = random.Random(11)
+    for ends in (".", ""):
+        missed = 0
+        for _ in range(200):
+            text = " ".join(f"w{draw.randrange(3_000)}{ends if k % 9 == 0 else ''}" for k in range(500)).split()
+            a = draw.randrange(400)
+            texts = [" ".join(f"{side}{draw.randrange(900)}" for _ in range(draw.randrange(1, 30))) for side in "xyxy"]
+            copy = " ".join(text[a : a + 51])
+            _, found = find_runs(pa.array([f"{texts[0]} {copy} {texts[1]}", f"{texts[2]} {copy} {texts[3]}"]))
+            missed += not set(found.key[found.text == 0].tolist()) & set(found.key[found.text == 1].tolist())
+        assert missed < 4
+
+
+def test_second_grid_leaves_the_first_occurrence_whole(odd):
+    words = [f"w{k}" for k in range(60)]
+    once = "start " + " ".join(words) + " stop"
+    rows = {r["doc_id"]: r["text"] for r in without_repeated_spans(odd([(1, once), (2, "other " + " ".join(words) + " words"), (3, "ha " * 25)])).collect()}
+    assert rows[1] == once and rows[3] == "ha " * 25
+    assert len(rows[2].split()) < 25 and rows[2].startswith("other ") and rows[2].endswith(" words")
