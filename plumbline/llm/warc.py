@@ -23,7 +23,8 @@ from plumbline.llm.common import small_or_shuffled
 from plumbline.session import scratch_dir
 
 END = "\r\n\r\n"  # behind each record
-RECORDS_PER_FILE = 20_000
+ROW_BYTES = 2 << 20  # of records in a row of the text writer; a longer record is a row of its own
+ROWS_PER_FILE = 64  # so a file inflates to 128 MiB, or to 64 times its longest record
 READ = 1 << 16  # compressed bytes inflated at a time
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -66,12 +67,24 @@ def _record(page_id, url, html, refers_to, revisit: bool, date: str) -> str:
 
 
 def _records(date: str):
+    """Records in rows of about ROW_BYTES: what stands between two of a row is the end mark, as between rows."""
+
+    def row(held: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([END.encode().join(held)]).cast(pa.string())], names=["value"])
+
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256).to_pylist()
-                made = [_record(r["page_id"], r["url"], r["html"], r["refers_to"], r["revisit"], date) for r in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(made, pa.string())], names=["value"])
+                for r in batch.slice(at, 256).to_pylist():
+                    made = _record(r["page_id"], r["url"], r["html"], r["refers_to"], r["revisit"], date).encode()
+                    if held and size + len(made) > ROW_BYTES:
+                        yield row(held)
+                        held, size = [], 0
+                    held.append(made)
+                    size += len(made)
+        if held:
+            yield row(held)
 
     return go
 
@@ -81,7 +94,8 @@ def write_archives(pages: DataFrame, path: str, least_revisit: int = 0, date: st
 
     Of rows with equal payloads of ``least_revisit`` bytes or more, those with the largest page_id are responses and the others revisit it; rows
     without page_id revisit only if some row of their payload has one. A null html is an empty payload, a null url
-    becomes urn:page:<page_id>. Only digests that occur more than once are joined back.
+    becomes urn:page:<page_id>. Only digests that occur more than once are joined back. Files are bounded by bytes: 64 rows of
+    2 MiB of records, or of one longer record, each.
     """
     body = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     given = pages.select("page_id", "url", "html", F.sha1(body).alias("digest"), F.octet_length(body).alias("bytes"))
@@ -92,7 +106,7 @@ def write_archives(pages: DataFrame, path: str, least_revisit: int = 0, date: st
         "revisit", F.expr("refers_to is not null and not (page_id <=> refers_to)")
     )
     records = joined.select("page_id", "url", "html", "refers_to", "revisit").mapInArrow(_records(date), "value string")
-    writer = records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE)
+    writer = records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_FILE)
     writer.text(path)
 
 

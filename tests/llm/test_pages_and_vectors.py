@@ -9,6 +9,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.llm import embedding_dedup, warc
 from plumbline.llm.common import components
@@ -116,3 +117,17 @@ def test_pipeline_on_the_smallest_tables(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         odd = stage(spark, odd, sf)
     assert odd.count() == 3
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ROWS_PER_FILE", 4)
+    monkeypatch.setattr(warc, "ROW_BYTES", 400_000)
+    html = F.concat(F.lit("é"), F.expr("repeat('x', 200000)"), F.col("id"))
+    pages = spark.range(0, 40, 1, 2).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+    warc.write_archives(pages, f"{tmp_path}/stream")
+    files = [gzip.decompress(p.read_bytes()) for p in (tmp_path / "stream").glob("*.gz")]
+    assert len(files) > 4 and max(map(len, files)) <= 4 * 400_000 + 16
+    assert sum(f.count(b"WARC-Record-ID: ") for f in files) == 40
+    warc.normalise_archives(spark, f"{tmp_path}/stream", f"{tmp_path}/members")
+    index = warc.index_archives(spark, f"{tmp_path}/members", f"{tmp_path}/index")
+    assert index.where("payload_bytes between 200002 and 200005").select("page_id").distinct().count() == 40
