@@ -8,6 +8,7 @@ from plumbline.operators import leave
 from plumbline.plans.registry import Inputs, query
 from plumbline.session import scratch_dir
 from plumbline.sources import drops
+from plumbline.sources.history import extend_history, read_history
 from plumbline.streaming import ingest
 
 # ---------------------------------------------------------------- drops
@@ -210,13 +211,15 @@ _TWICE = (
 )
 
 
-@query(
-    "dim_time_off_history",
+_HISTORY = (
     _TWICE
     + """ SELECT * , valid_to IS NULL AS is_current FROM (SELECT s.*, e.preferred_name AS employee_name, s.loaded_at AS valid_from,
       LEAD(s.loaded_at) OVER (PARTITION BY s.upi ORDER BY s.loaded_at) AS valid_to
-    FROM loads s LEFT JOIN {employee} e ON e.employee_id = s.employee_id)""",
+    FROM loads s LEFT JOIN {employee} e ON e.employee_id = s.employee_id)"""
 )
+
+
+@query("dim_time_off_history", _HISTORY)
 def _(t: Inputs):
     """Two loads, the second of which repeats the days of the first."""
     early = leave.typed_time_off(t.raw_time_off.filter("time_off_date < '2024-01-20'"), "2024-03-09 06:00:00")
@@ -224,6 +227,30 @@ def _(t: Inputs):
     return _as_double(leave.dim_time_off(loads, leave.stage_employee(t.employee), history=True))
 
 
+@query("dim_time_off_increments", _HISTORY)
+def _(t: Inputs):
+    """The same two loads, the history kept by increments; the second load comes twice."""
+    table = scratch_dir(t.spark, "time-off-history") + "/table"
+    early = leave.typed_time_off(t.raw_time_off.filter("time_off_date < '2024-01-20'"), "2024-03-09 06:00:00")
+    for load in (leave.latest_rows(early, "upi"), _staged_time_off(t), _staged_time_off(t)):
+        extend_history(load, table, "upi")
+    return _as_double(read_history(t.spark, table).join(leave.stage_employee(t.employee), "employee_id", "left"))
+
+
+@query(
+    "dim_time_off_as_of",
+    _HISTORY.replace(" SELECT * , valid_to", " SELECT upi, status, duration, valid_to", 1)
+    + " WHERE valid_from <= TIMESTAMP '2024-03-09 12:00:00' AND (valid_to IS NULL OR valid_to > TIMESTAMP '2024-03-09 12:00:00')",
+)
+def _(t: Inputs):
+    """What the history of two loads said between them."""
+    table = scratch_dir(t.spark, "time-off-as-of") + "/table"
+    early = leave.typed_time_off(t.raw_time_off.filter("time_off_date < '2024-01-20'"), "2024-03-09 06:00:00")
+    extend_history(leave.latest_rows(early, "upi").unionByName(_staged_time_off(t)), table, "upi")
+    found = read_history(t.spark, table, at="2024-03-09 12:00:00")
+    return _as_double(found.select("upi", "status", "duration", "is_current"))
+
+
 _DAYS = """SELECT s.employee_id, e.preferred_name AS employee_name, TIMESTAMP '1970-01-01 00:00:00' + s.timestamp_unix * INTERVAL 1 SECOND AS request_timestamp,
       s.timestamp_unix AS request_timestamp_unix, 'LOA' AS type_of_time_off, d.full_date AS time_off_date, CAST(8 AS DOUBLE) AS duration_hours,
       'Approved' AS status, s.employee_id || '|' || d.full_date || '|8.0' AS upi

@@ -135,17 +135,18 @@ def high_water_mark(spark: SparkSession, table: str) -> str | None:
     return _state(_Folder(spark, table))["mark"]
 
 
-def snapshot(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
+def snapshot(spark: SparkSession, table: str, version: int | None = None, only: str | None = None) -> DataFrame:
     """The rows of the published version, or of an earlier one that has not been expired.
 
-    Partitions of one folder are read as they are; only those of several are reduced to the latest row per key.
+    Partitions of one folder are read as they are; only those of several are reduced to the latest row per key. ``only``
+    restricts the result to partitions whose value begins so; files of others are not read.
     """
     folder = _Folder(spark, table)
     state = _state(folder, version)
     schema = _schema(state)
     if schema is None:
         raise ValueError(f"{table} has no version yet")
-    parts = state["parts"].values()
+    parts = [p for name, p in state["parts"].items() if name.startswith(f"{PART}={only or ''}")]
     single = _frame(spark, folder, [p[0] for p in parts if len(p) == 1], schema)
     several = _frame(spark, folder, [f for p in parts if len(p) > 1 for f in p], schema)
     return single.unionByName(_reduced(several, state["keys"], state["order"])).drop(SEQUENCE)
