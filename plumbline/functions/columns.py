@@ -35,6 +35,23 @@ def family(dtype: T.DataType) -> str:
     return OTHER
 
 
+def holds_map(dtype: T.DataType) -> bool:
+    return "map<" in dtype.simpleString()
+
+
+def without_maps(value: Column, dtype: T.DataType) -> Column:
+    """The value with every map in it, however deep, as its entries in order of their keys, so that it can be compared and grouped."""
+    if not holds_map(dtype):
+        return value
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda x: without_maps(x, dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        fields = [without_maps(value.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    entry = T.StructType([T.StructField("key", dtype.keyType), T.StructField("value", dtype.valueType)])
+    return F.array_sort(F.transform(F.map_entries(value), lambda e: F.struct(*[without_maps(e[f.name], f.dataType).alias(f.name) for f in entry.fields])))
+
+
 def columns_of(df: DataFrame, *families: str) -> list[str]:
     return [f.name for f in df.schema.fields if family(f.dataType) in families]
 

@@ -15,8 +15,10 @@ from plumbline.functions.columns import (
     comparable_cell,
     dtype_of,
     family,
+    holds_map,
     percent,
     ratio,
+    without_maps,
     zero_if_null,
 )
 from plumbline.functions.tally import SIDE, on_side, side_counts, side_tally, tag_sides, total
@@ -41,10 +43,12 @@ def _compared(old: DataFrame, new: DataFrame, keys: list[str], columns: Sequence
 
 
 def _same_kind(old: DataFrame, new: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Columns whose types cannot be compared as they are become text on both sides."""
+    """Columns whose types cannot be compared as they are become text on both sides, maps their entries in order of the keys."""
     mixed = [c for c in columns if family(dtype_of(old, c)) != family(dtype_of(new, c))]
     as_text = {c: col(c).cast("string") for c in mixed}
-    return old.withColumns(as_text), new.withColumns(as_text)
+    maps = [c for c in columns if c not in mixed and holds_map(dtype_of(old, c))]
+    sides = [df.withColumns({**as_text, **{c: without_maps(col(c), dtype_of(df, c)) for c in maps}}) for df in (old, new)]
+    return sides[0], sides[1]
 
 
 def _survey_keys(old: DataFrame, new: DataFrame, keys: list[str]) -> tuple[list[DataFrame], bool]:

@@ -181,3 +181,23 @@ def test_gate_of_empty_old(spark):
 def test_missing_sample_is_limited(spark):
     got = C.missing_key_sample(spark.range(20).toDF("k"), spark.range(3).toDF("k"), "k")
     assert rows(got) == [("missing_in_new", k) for k in range(3, 8)]
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_map_cells_are_compared_by_their_entries(spark, repeated):
+    """Whatever the order of the entries, at any depth; with unique and with repeated keys, and row by row."""
+
+    def side(*cells):
+        parts = [f"select {k} as k, {m} as m, array(named_struct('x', {m})) as deep" for k, m in enumerate(cells)]
+        return spark.sql(" union all ".join([*parts, *parts] if repeated else parts))
+
+    old = side("map('a', 1, 'b', 2)", "map('a', 1)", "map('a', 1)", "cast(null as map<string, int>)")
+    new = side("map('b', 2, 'a', 1)", "map('a', 2)", "cast(map() as map<string, int>)", "map('a', cast(null as int))")
+    times = 4 if repeated else 1
+    got = one(C.column_compare(old, new, "k"))
+    assert [got[f"m_{c}"] // times for c in C._COUNTERS] == [1, 2, 1, 0]
+    assert [got[f"deep_{c}"] // times for c in C._COUNTERS] == [1, 3, 0, 0]
+    labels = C.column_compare_rows(old, new, "k").select("k", "m_comparison").distinct()
+    assert rows(labels, "k", "m_comparison") == [(0, C.SAME), (1, C.DIFFERENT), (2, C.DIFFERENT), (3, C.NULL_TO_VALUE)]
+    by_key = C.column_compare_by_key(old, new, "k").filter("column_name = 'm' and k = 0")
+    assert one(by_key)["same_count"] == times
