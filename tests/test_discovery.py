@@ -150,6 +150,22 @@ def test_minimal_keys_match_plain_loops(spark, seed, monkeypatch):
     assert all(r["keys"] <= r["counted"] for r in levels)
 
 
+@pytest.mark.parametrize("group", [2_000, 1])
+def test_pairs_of_rows_settle_sets_without_counting_them(spark, monkeypatch, group):
+    rng = random.Random(5)
+    names = ["a", "b", "c", "d", "e"]
+    data = list(dict.fromkeys(tuple(rng.randrange(m) for m in (40, 5, 9, 50, 12)) for _ in range(120)))
+    data += [(1000, *r[1:]) for r in data[:2]] + [(1001, *r[1:]) for r in data[:2]]
+    df = spark.createDataFrame(data, ", ".join(f"{n} int" for n in names)).repartition(3)
+    monkeypatch.setattr(K, "SAMPLE", 10)
+    monkeypatch.setattr(K, "GROUP", group)
+    counted = []
+    unique = K._unique
+    monkeypatch.setattr(K, "_unique", lambda *a: counted.append(a[-1]) or unique(*a))
+    assert sorted(r["key_columns"] for r in K.minimal_keys(df, 4).keys.collect()) == keys_by_loops(data, names, 4)
+    assert bool(counted) == (group == 1)  # a pivot whose rows are too many is not taken
+
+
 def test_agreeing_rows_rule_out_most_sets(spark):
     df = spark.range(3000).selectExpr("id div 4 o", "id % 4 n", *[f"pmod(hash(id, {k}), {m}) c{k}" for k, m in enumerate((2, 3, 50, 7))], "1 k")
     found = K.minimal_keys(df, 3)
