@@ -161,7 +161,7 @@ def minimal_keys(df: DataFrame, max_size: int = 4, columns: Sequence[str] | None
     keys = [(i,) for i, c in enumerate(useful) if distinct[c] == n]
     report = [(1, len(columns), len(columns) - len(useful), 0, len(useful), len(keys))]
     agreements, pivots = [], None
-    if max_size > 1 and len(keys) < len(useful):
+    if max_size > 1 and len(keys) < len(useful) and len(useful) > 1:
         of = {r["column_name"]: r for r in totals}
         cells = [comparable_cell(df, c).alias(f"c{i}") for i, c in enumerate(useful)]
         known = stored(df.select(*cells, F.monotonically_increasing_id().alias("id")), "key-rows")
