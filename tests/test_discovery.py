@@ -16,6 +16,7 @@ from plumbline.operators import keys as K
 from plumbline.operators import relationships as R
 from plumbline.operators import sketches as S
 from plumbline.operators.compare import row_compare
+from plumbline.plans import all_queries
 
 # ---- checksum tree
 
@@ -119,6 +120,16 @@ def test_inclusions_take_one_shuffle_of_values(spark, monkeypatch):
     assert "".join(plans).count("Exchange hashpartitioning(kind") == 1 and "BroadcastNestedLoop" not in "".join(plans)
 
 
+def test_the_other_order_of_equal_tables_is_dealt_by_size(spark, tmp_path, monkeypatch):
+    spark.range(500).selectExpr("id l_orderkey", "id % 2 l_partkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    given = []
+    compare = C.checksum_compare
+    monkeypatch.setattr(C, "checksum_compare", lambda a, b, *rest, **more: given.append(plan(b)) or compare(a, b, *rest, **more))
+    found = one(all_queries()["checksum_compare_equal"](spark, str(tmp_path)))
+    assert "REBALANCE_PARTITIONS_BY_COL" in given[0] and "REPARTITION_BY_NUM" not in given[0]
+    assert (found["main_row_count"], found["current_row_count"], found["rows_in_main_not_current"], found["rows_in_current_not_main"]) == (500, 500, 0, 0)
+
+
 # ---- keys
 
 
@@ -179,6 +190,7 @@ def test_keys_of_small_tables(spark):
     assert sorted(r["key_columns"] for r in K.minimal_keys(empty).keys.collect()) == ["a", "b"]
     assert K.minimal_keys(spark.createDataFrame([(1, 2)] * 3, "a int, b int")).keys.count() == 0
     assert [r[0] for r in K.minimal_keys(spark.createDataFrame([(1, None)], "a int, b int")).keys.collect()] == ["a"]
+    assert K.minimal_keys(spark.createDataFrame([(1, None), (2, 3), (2, 3)], "a int, b int")).keys.count() == 0
     with pytest.raises(ValueError, match="62"):
         K.minimal_keys(spark.range(1).select(*[F.lit(i).alias(f"c{i}") for i in range(63)]))
 
