@@ -356,12 +356,19 @@ def key_reconcile_schemas(
 def missing_key_sample(
     old: DataFrame, new: DataFrame, key: str | Sequence[str], limit: int = 5
 ) -> DataFrame:
-    """Up to ``limit`` whole rows per direction whose key the other side lacks, lowest keys first."""
+    """Up to ``limit`` whole rows per direction whose key the other side lacks, lowest keys first.
+
+    Only keys are compared; the rows of the ``limit`` lowest ones are read again.
+    """
     keys = as_list(key)
 
     def one_way(left: DataFrame, right: DataFrame, direction: str) -> DataFrame:
         order = [col(c) for c in [*keys, *[c for c in left.columns if c not in keys]]]
-        lacking = left.join(right.select(*[col(k) for k in keys]), keys, "left_anti").orderBy(*order).limit(limit)
+        names = [col(k) for k in keys]
+        lowest = left.select(*names).join(right.select(*names), keys, "left_anti").orderBy(*names).limit(limit)
+        lowest = lowest.distinct().select(*[col(k).alias(f"__low{i}") for i, k in enumerate(keys)])
+        same = reduce(lambda a, b: a & b, [col(k).eqNullSafe(F.col(f"__low{i}")) for i, k in enumerate(keys)])
+        lacking = left.join(F.broadcast(lowest), same, "left_semi").orderBy(*order).limit(limit)
         return lacking.select(F.lit(direction).alias("direction"), *[col(c) for c in left.columns])
 
     return one_way(old, new, "missing_in_new").unionByName(

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from helpers import one, rows
+from helpers import one, plan, rows
 from pyspark.sql import functions as F
 
 from plumbline.operators import compare as C
@@ -201,3 +201,17 @@ def test_map_cells_are_compared_by_their_entries(spark, repeated):
     assert rows(labels, "k", "m_comparison") == [(0, C.SAME), (1, C.DIFFERENT), (2, C.DIFFERENT), (3, C.NULL_TO_VALUE)]
     by_key = C.column_compare_by_key(old, new, "k").filter("column_name = 'm' and k = 0")
     assert one(by_key)["same_count"] == times
+
+
+def test_missing_keys_are_sought_by_keys_alone(spark):
+    old = spark.createDataFrame([(None, "a"), (None, "b"), (3, "d"), (3, "c"), (1, "x"), (7, "y"), (8, "z")], "k int, wide string").repartition(3)
+    new = spark.createDataFrame([(1, "x"), (None, "c")], "k int, wide string")
+    got = C.missing_key_sample(old, new, "k", 4)
+    lines = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = [next((i for i, ch in enumerate(line) if ch.isalnum()), 0) for line in lines]
+    for at in (i for i, line in enumerate(lines) if "LeftAnti" in line):
+        below = next((i for i in range(at + 1, len(lines)) if depth[i] <= depth[at]), len(lines))
+        assert not any(line.strip(" :+-").startswith("Project") and "wide" in line for line in lines[at + 1 : below])
+    found = [tuple(r) for r in got.collect()]
+    assert found[:4] == [("missing_in_new", None, "a"), ("missing_in_new", None, "b"), ("missing_in_new", 3, "c"), ("missing_in_new", 3, "d")]
+    assert found[4:] == [("missing_in_old", None, "c")]
