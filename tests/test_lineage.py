@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from helpers import final_plan, rows
+from helpers import final_plan, plan, rows
 
 from plumbline.operators import lineage as L
 
@@ -85,3 +85,11 @@ def test_vestigial(spark):
 def test_levels_are_computed_once(graph):
     nodes, edges = graph
     assert final_plan(L.upstream_bounded(nodes, edges, "mart", 3)).count("Join") <= 2 * 6  # initial and final plan
+
+
+def test_walks_broadcast_nothing_that_grows_with_the_graph(graph, monkeypatch):
+    plans = []
+    cut = L.cut_lineage
+    monkeypatch.setattr(L, "cut_lineage", lambda df: plans.append(plan(df)) or cut(df))
+    plans.append(plan(L.upstream_closure(*graph, "mart")))
+    assert len(plans) > 4 and not any("Broadcast" in p for p in plans)
