@@ -69,7 +69,9 @@ def _survey_keys(old: DataFrame, new: DataFrame, keys: list[str]) -> tuple[list[
     if found[1] <= BROADCAST_KEYS:
         return [F.broadcast(repeated.select(*names))], null_keys
     hot = cut_lineage(repeated.orderBy(F.col("__most").desc(), *names).limit(BROADCAST_KEYS).select(*names))
-    return [F.broadcast(hot), repeated.select(*names).join(F.broadcast(hot), keys, "left_anti")], null_keys
+    # a table of keys in memory, so that rows are not sorted to be looked up
+    rest = repeated.select(*names).join(F.broadcast(hot), keys, "left_anti").hint("shuffle_hash")
+    return [F.broadcast(hot), rest], null_keys
 
 
 def _without(df: DataFrame, repeated: list[DataFrame], keys: list[str]) -> DataFrame:

@@ -215,3 +215,15 @@ def test_missing_keys_are_sought_by_keys_alone(spark):
     found = [tuple(r) for r in got.collect()]
     assert found[:4] == [("missing_in_new", None, "a"), ("missing_in_new", None, "b"), ("missing_in_new", 3, "c"), ("missing_in_new", 3, "d")]
     assert found[4:] == [("missing_in_old", None, "c")]
+
+
+def test_rows_are_not_sorted_to_look_up_many_repeated_keys(spark, monkeypatch):
+    rows_ = [(i % 40, i % 7) for i in range(200)] + [(i, i) for i in range(100, 130)]
+    old = spark.createDataFrame([*rows_, (None, 1)], "k int, v int")
+    new = spark.createDataFrame([(k, v + (k % 5 == 0)) for k, v in rows_[20:]], "k int, v int")
+    want = one(C.column_compare(old, new, "k", row_status=True))
+    monkeypatch.setattr(C, "BROADCAST_KEYS", 3)
+    got = C.column_compare(old, new, "k", row_status=True)
+    lookups = [line for line in plan(got).split("\n") if "LeftAnti" in line or "LeftSemi" in line]
+    assert any("ShuffledHashJoin" in line for line in lookups) and not any("SortMergeJoin" in line for line in lookups)
+    assert one(got) == want
