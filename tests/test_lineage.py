@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from helpers import final_plan, plan, rows
+from pyspark.sql import functions as F
 
 from plumbline.operators import lineage as L
 
@@ -93,3 +94,9 @@ def test_walks_broadcast_nothing_that_grows_with_the_graph(graph, monkeypatch):
     monkeypatch.setattr(L, "cut_lineage", lambda df: plans.append(plan(df)) or cut(df))
     plans.append(plan(L.upstream_closure(*graph, "mart")))
     assert len(plans) > 4 and not any("Broadcast" in p for p in plans)
+
+
+def test_column_lineage_broadcasts_nothing_that_grows_with_the_graph(graph):
+    nodes, edges = graph
+    nodes = nodes.withColumn("model_sql", F.lit("select raw_col from t"))
+    assert "Broadcast" not in plan(L.column_lineage(nodes, edges, "mart", "RAW_COL"))
