@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 
 import pytest
-from helpers import one, plan, rows
+from helpers import final_plan, one, plan, rows
 from pyspark.sql import functions as F
 
+from plumbline.operators import reach
 from plumbline.operators.compare import ab_row_count
 from plumbline.operators.lineage import vestigial_relations
 from plumbline.operators.reach import reach_counts
@@ -189,3 +190,21 @@ def test_reach_beyond_the_exact_bound_is_estimated(spark):
 def test_reach_without_edges(spark):
     nodes = spark.createDataFrame([(1, "a")], "node_id long, model_name string")
     assert rows(reach_counts(nodes, spark.createDataFrame([], "upstream_id long, downstream_id long"))) == [("a", 0, 0, False)]
+
+
+def test_reach_sends_no_side_of_a_join_to_the_driver(spark, monkeypatch):
+    nodes = spark.range(40).selectExpr("id node_id", "concat('m', id) model_name")
+    edges = spark.range(1, 40).selectExpr("id div 3 upstream_id", "id downstream_id")
+    plans = []
+
+    def stored(df, purpose):
+        found = keep(df, purpose)
+        plans.append(final_plan(df))
+        return found
+
+    keep = reach.stored
+    monkeypatch.setattr(reach, "stored", stored)
+    plans.append(final_plan(reach_counts(nodes, edges)))
+    joins = [line for p in plans for line in p.split("\n") if "Join" in line]
+    assert len(plans) > 8 and len(joins) > 12 and all("SortMergeJoin" in line for line in joins)
+    assert not any("Broadcast" in p for p in plans)
